@@ -252,7 +252,7 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str,
             ids = own.encode_texts(batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.binary())], [*batch.schema.names[:-1], "ids"])
 
-    return df.select(*keep, common.text_or_empty(text).alias("__text")).mapInArrow(work, schema)
+    return common.in_arrow(df.select(*keep, common.text_or_empty(text).alias("__text")), work, schema)
 
 
 def decode(df: DataFrame, vocabulary: str) -> DataFrame:
@@ -265,10 +265,9 @@ def decode(df: DataFrame, vocabulary: str) -> DataFrame:
             texts = [own.decode_ids(x or b"") for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
-    return df.mapInArrow(work, schema)
+    return common.in_arrow(df, work, schema)
 
 
 def op4_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    common.tune(spark)
     out = decode(encode(common.table(spark, sf_dir, "documents"), default_vocabulary()), default_vocabulary())
     return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))

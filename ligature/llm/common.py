@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,12 @@ def tune(spark: SparkSession) -> None:
         spark.conf.set(key, "1000")
 
 
+def in_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand on the executors."""
+    tune(df.sparkSession)
+    return df.mapInArrow(work, schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
 

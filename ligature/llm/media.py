@@ -188,7 +188,7 @@ def features(df: DataFrame, media: str = "media", keep: tuple[str, ...] = ("doc_
             made = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays(batch.columns[:-1] + made, [*batch.schema.names[:-1], *names])
 
-    return df.select(*keep, F.col(media).alias("__media")).mapInArrow(work, schema)
+    return common.in_arrow(df.select(*keep, F.col(media).alias("__media")), work, schema)
 
 
 def images_of_texts(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -209,11 +209,10 @@ def images_of_texts(df: DataFrame, text: str = "text", key: str = "doc_id") -> D
                 media.append(encode_bmp(samples) if zlib.crc32(data) & 1 else encode_pgm(samples))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], [batch.schema.names[0], "n_bytes", "media"])
 
-    return source.mapInArrow(work, schema)
+    return common.in_arrow(source, work, schema)
 
 
 def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    common.tune(spark)
     stored = common.stage(images_of_texts(common.table(spark, sf_dir, "documents")), "media")
     out = features(stored, keep=("doc_id", "n_bytes"))
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", F.crc32("tile").alias("tile_crc32"))

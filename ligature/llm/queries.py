@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op4_bpe_encoding
 from .media import op1_media_columns
+from .quality import op3_quality_classifier
 from .tokens import op2_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media_columns, op2_token_counts)}
+    return {f.__name__: f for f in (op1_media_columns, op2_token_counts, op3_quality_classifier, op4_bpe_encoding)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -103,9 +103,8 @@ def token_counts(df: DataFrame, vocabulary: str, text: str = "text", key: str =
             sizes = [len(t) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(own.count(texts), pa.int64())], [batch.schema.names[0], "n_bytes", "n_tokens"])
 
-    return source.mapInArrow(work, schema).withColumn("over_limit", F.col("n_tokens") > limit)
+    return common.in_arrow(source, work, schema).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    common.tune(spark)
     return token_counts(common.table(spark, sf_dir, "documents"), default_vocabulary())
