@@ -7,14 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op4_bpe_encoding
+from .fingerprint import op6_document_fingerprints
 from .media import op1_media_columns
 from .quality import op3_quality_classifier
 from .tokens import op2_token_counts
+from .warc import OP5_SQL, op5_warc_archive
+
+
+ALL = (
+    op1_media_columns,
+    op2_token_counts,
+    op3_quality_classifier,
+    op4_bpe_encoding,
+    op5_warc_archive,
+    op6_document_fingerprints,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media_columns, op2_token_counts, op3_quality_classifier, op4_bpe_encoding)}
+    return {f.__name__: f for f in ALL}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_warc_archive": OP5_SQL}
