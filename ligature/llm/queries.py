@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op4_bpe_encoding
 from .fingerprint import op6_document_fingerprints
 from .media import op1_media_columns
+from .mixing import op10_source_mix
+from .neardup import op7_minhash_near_dedup
 from .quality import op3_quality_classifier
 from .tokens import op2_token_counts
 from .warc import OP5_SQL, op5_warc_archive
 
-
 ALL = (
     op1_media_columns,
     op2_token_counts,
@@ -21,6 +22,8 @@ ALL = (
     op4_bpe_encoding,
     op5_warc_archive,
     op6_document_fingerprints,
+    op7_minhash_near_dedup,
+    op10_source_mix,
 )
 
 
