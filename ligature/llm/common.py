@@ -120,9 +120,9 @@ class WordCache(dict):
         self.old: dict = {}
         self.limit = limit
 
-    def missing(self, keys: set) -> list:
-        """Bring known keys into the young generation; return the unknown ones in a fixed order."""
-        if len(self) >= self.limit:
+    def missing(self, keys: set, keep: bool = False) -> list:
+        """Bring known keys into the young generation and return the unknown ones; with ``keep``, forget nothing now."""
+        if len(self) >= self.limit and not keep:
             self.old = dict(self)
             self.clear()
         unknown = []

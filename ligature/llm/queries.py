@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op4_bpe_encoding
 from .fingerprint import op6_document_fingerprints
+from .html import op8_html_extraction
 from .media import op1_media_columns
 from .mixing import op10_source_mix
 from .neardup import op7_minhash_near_dedup
 from .quality import op3_quality_classifier
+from .tokenfile import op9_token_file
 from .tokens import op2_token_counts
 from .warc import OP5_SQL, op5_warc_archive
 
@@ -23,6 +25,8 @@ ALL = (
     op5_warc_archive,
     op6_document_fingerprints,
     op7_minhash_near_dedup,
+    op8_html_extraction,
+    op9_token_file,
     op10_source_mix,
 )
 

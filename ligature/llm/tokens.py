@@ -57,7 +57,7 @@ class Encoder:
         """The number of tokens of each text."""
         out = []
         for i, j in common.byte_slices([len(t) for t in texts], TEXT_BYTES):
-            cut = [t.split() for t in texts[i:j]]  # of bytes: at ASCII white space only
+            cut = [_cut(t) for t in texts[i:j]]
             self._learn(self.lengths, cut, len)
             get = self.lengths.__getitem__
             out += [sum(map(get, pieces)) for pieces in cut]
@@ -69,7 +69,7 @@ class Encoder:
 
         out = []
         for i, j in common.byte_slices([len(t) for t in texts], TEXT_BYTES):
-            cut = [t.split() for t in texts[i:j]]  # of bytes: at ASCII white space only
+            cut = [_cut(t) for t in texts[i:j]]
             self._learn(self.ids, cut, lambda ids: np.array(ids, "<u4").tobytes())
             get = self.ids.__getitem__
             out += [b"".join(map(get, pieces)) for pieces in cut]
@@ -79,8 +79,24 @@ class Encoder:
         distinct: set = set()
         for pieces in cut:
             distinct.update(pieces)
-        for p, ids in self._encode(cache.missing(distinct)):
+        plain, ended = [], []
+        for p in cache.missing(distinct):
+            # a full stop or comma after a letter or digit is a word of its own
+            (ended if p[-1:] in _ENDS and p[-2:-1].isalnum() else plain).append(p)
+        stems = {p[:-1] for p in ended}.union(_ENDS if ended else ()).difference(plain)
+        for p, ids in self._encode(plain + cache.missing(stems, keep=True)):
             cache[p] = value(ids)
+        for p in ended:
+            cache[p] = cache[p[:-1]] + cache[p[-1:]]
+
+
+_ENDS = (b".", b",")
+
+
+def _cut(text: bytes) -> list[bytes]:
+    """The pieces between ASCII white space. The vocabulary ignores case; in ASCII text without a marker of special
+    tokens it can be dropped here, which makes more pieces equal."""
+    return (text.lower() if text.isascii() and b"<|" not in text else text).split()
 
 
 def encoder(path: str) -> Encoder:
