@@ -46,11 +46,16 @@ def fold_latin(text: Column) -> Column:
     return F.translate(reduce(lambda c, p: F.replace(c, F.lit(p[0]), F.lit(p[1])), _FOLDED, text), *_latin())
 
 
-def transliterate(text: Column) -> Column:
-    """ASCII text as it is; Latin letters without diacritics; Indic letters by their Unicode names."""
-    from .translit import indic
+def transliterate(text: Column, scripts: str = "all") -> Column:
+    """ASCII text as it is; Latin letters without diacritics; Indic letters by their Unicode names.
 
+    ``scripts="latin"`` leaves other scripts as they are and needs no Python on the executors.
+    """
     folded = fold_latin(text)
+    if scripts == "latin":
+        return folded
+    from .translit import indic
+
     return F.when(is_ascii(text), text).when(is_ascii(folded), folded).otherwise(indic(folded))
 
 
@@ -72,9 +77,9 @@ def skeleton(text: Column) -> Column:
     return F.array_join(F.transform(words(F.lower(text)), skeleton_of_token), " ")
 
 
-def _clean(text: Column) -> Column:
+def _clean(text: Column, scripts: str) -> Column:
     """Everything up to the tokens, but for the parts after `` dba ``, which need the text before the last steps."""
-    n = F.lower(transliterate(replaced(text, (r"(?i)\b(n[°º]|no\.)\s*(?=\d)", " "))))
+    n = F.lower(transliterate(replaced(text, (r"(?i)\b(n[°º]|no\.)\s*(?=\d)", " ")), scripts))
     last = F.element_at(F.split(n, r"\|"), -1)
     url = reduce(lambda a, b: a | b, [F.contains(last, F.lit(x)) for x in ("www.", ".com", ".in", ".org", ".net", ".fr")])
     n = F.when(~F.contains(n, F.lit("|")), n).when(url, F.split_part(n, F.lit("|"), F.lit(1))).otherwise(F.replace(n, F.lit("|"), F.lit(" ")))
@@ -106,11 +111,11 @@ def without_runs(tokens: Column) -> Column:
     return F.filter(tokens, lambda t, i: (i == 0) | (t != F.try_element_at(tokens, i)))
 
 
-def with_name_parts(df: DataFrame, name: str, prefix: str = "") -> DataFrame:
+def with_name_parts(df: DataFrame, name: str, prefix: str = "", scripts: str = "all") -> DataFrame:
     """Adds name_full, core_name, legal, core_sorted and name_skel of a raw name, and the text ``<prefix>folded``."""
     p = lambda c: f"{prefix}{c}"
     text = F.coalesce(F.col(name), F.lit(""))
-    df = df.withColumn(p("folded"), _clean(text)).withColumn(p("folded"), _folded(F.col(p("folded"))))
+    df = df.withColumn(p("folded"), _clean(text, scripts)).withColumn(p("folded"), _folded(F.col(p("folded"))))
     df = df.withColumn(p("toks"), _tokens(F.col(p("folded")))).withColumn(p("toks"), without_runs(F.col(p("toks"))))
     df = df.withColumn(p("legal"), F.array_join(F.filter(p("toks"), lambda t: member(t, K.LEGAL_SUFFIXES)), " "))
     df = df.withColumn(p("full"), F.filter(p("toks"), lambda t: ~member(t, K.LEGAL_SUFFIXES)))
@@ -120,17 +125,12 @@ def with_name_parts(df: DataFrame, name: str, prefix: str = "") -> DataFrame:
     return df.withColumn(p("name_skel"), skeleton(F.col(p("core_name")))).drop(p("toks"), p("full"), p("strong"))
 
 
-def _core_of(df: DataFrame, part: str, out: str) -> DataFrame:
-    made = with_name_parts(df, part, "__h_").withColumn(out, F.col("__h_core_name"))
+def _core_of(df: DataFrame, part: str, out: str, scripts: str) -> DataFrame:
+    made = with_name_parts(df, part, "__h_", scripts).withColumn(out, F.col("__h_core_name"))
     return made.drop(*[c for c in made.columns if c.startswith("__h_")])
 
 
-def normalize_names(df: DataFrame, name: str = "raw_name") -> DataFrame:
-    """Adds name_full, name_a, name_b, name_aka_a, name_aka_b, core_name, legal, core_sorted and name_skel.
-
-    A name that normalises to nothing falls back to its lower-cased letters and digits.
-    """
-    df = with_name_parts(df, name)
+def _with_halves(df: DataFrame, name: str, scripts: str) -> DataFrame:
     halves = F.split(F.col("folded"), " dba ", 2)
     df = df.withColumn("__a", F.when(F.size(halves) > 1, F.trim(halves[0])).otherwise("")).withColumn("__b", F.when(F.size(halves) > 1, F.trim(halves[1])).otherwise(""))
     low = F.lower(F.coalesce(F.col(name), F.lit("")))
@@ -139,10 +139,22 @@ def normalize_names(df: DataFrame, name: str = "raw_name") -> DataFrame:
         cut = F.when(F.contains(low, F.lit(sep)), F.split(low, sep, 2)).otherwise(cut)
     df = df.withColumn("__k", cut).withColumn("__ka", F.coalesce(F.trim(F.col("__k")[0]), F.lit(""))).withColumn("__kb", F.coalesce(F.trim(F.col("__k")[1]), F.lit("")))
     for part, out in (("__a", "name_a"), ("__b", "name_b"), ("__ka", "name_aka_a"), ("__kb", "name_aka_b")):
-        df = _core_of(df, part, out)
+        df = _core_of(df, part, out, scripts)
     both = (F.col("__a") != "") & (F.col("__b") != "")
     df = df.withColumns({"name_a": F.when(both, F.col("name_a")).otherwise(F.col("__a")), "name_b": F.when(both, F.col("name_b")).otherwise(F.col("__b"))})
-    plain = F.trim(replaced(F.lower(transliterate(F.coalesce(F.col(name), F.lit("")))), (r"[^\w\s]", " ")))
+    return df.drop("__a", "__b", "__k", "__ka", "__kb")
+
+
+def normalize_names(df: DataFrame, name: str = "raw_name", scripts: str = "all", halves: bool = True) -> DataFrame:
+    """Adds name_full, core_name, legal, core_sorted and name_skel; with ``halves`` also name_a, name_b, name_aka_a and
+    name_aka_b, the core names around `` dba `` and `` aka ``.
+
+    A name that normalises to nothing falls back to its lower-cased letters and digits.
+    """
+    df = with_name_parts(df, name, scripts=scripts)
+    if halves:
+        df = _with_halves(df, name, scripts)
+    plain = F.trim(replaced(F.lower(transliterate(F.coalesce(F.col(name), F.lit("")), scripts)), (r"[^\w\s]", " ")))
     empty = (F.col("name_full") == "") & (F.trim(F.coalesce(F.col(name), F.lit(""))) != "")
     df = df.withColumn("__p", F.when(empty, plain))
     df = df.withColumns({
@@ -151,7 +163,7 @@ def normalize_names(df: DataFrame, name: str = "raw_name") -> DataFrame:
         "core_sorted": F.when(empty, F.array_join(F.array_sort(words(F.col("__p"))), " ")).otherwise(F.col("core_sorted")),
         "name_skel": F.when(empty, skeleton(F.col("__p"))).otherwise(F.col("name_skel")),
     })
-    return df.drop("folded", "__a", "__b", "__k", "__ka", "__kb", "__p")
+    return df.drop("folded", "__p")
 
 
 def legal_forms(raw: Column, legal: Column) -> Column:

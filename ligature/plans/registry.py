@@ -6,10 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function's name, with the final SELECT of its SQL counterpart."""
+
+    def put(f: Query) -> Query:
+        from .sql import statement
+
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = statement(sql)
+        return f
+
+    return put
+
+
+def _load() -> None:
+    from . import linkage, reports, retrieval  # noqa: F401
+
+
+def queries() -> dict[str, Query]:
+    _load()
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    _load()
+    return dict(SQL)

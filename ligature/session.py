@@ -1,12 +1,13 @@
-"""What a session needs before Python functions of this package run on its executors."""
+"""What a session needs before this package runs on its executors, and stage tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> None:
@@ -21,3 +22,34 @@ def ship(spark: SparkSession) -> None:
             out.write(p, f"{here.name}/{p.relative_to(here)}")
     sc.addPyFile(str(archive))
     sc._ligature_shipped = True
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
+
+    Only a local session may go without the setting; it gets a temporary folder.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    sc = spark.sparkContext
+    if sc.master == "local" or sc.master.startswith("local["):
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="ligature-"))
+        return sc.getCheckpointDir().rstrip("/")
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/ligature/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and return the written table.
+
+    The written table cuts the lineage, survives lost executors, and is read without a schema scan.
+    """
+    spark = df.sparkSession
+    path = path or new_path(spark, name)
+    df.write.option("compression", "zstd").mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
