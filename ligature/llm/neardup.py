@@ -7,9 +7,10 @@ many hashes are evaluated for a signature of a given length, and its variance is
 candidates; at a similarity of 0.8, all 40 bands of 6 fail for one pair in 190,000.
 
 Documents with equal sets are one class. In each bucket of a band the smallest and the largest class are compared with
-all others, which is linear in the bucket and joins nearly all of a group of copies; classes of a bucket that are still
-in different components are then compared with each other, so that no link between components is lost. A candidate
-must have similar sizes and signatures, and every link is confirmed on the full sets.
+all others, which is linear in the bucket and joins nearly all of a group of copies. What is left are classes of one
+bucket in different components: all that are not in the bucket's largest component are compared with the others, tile
+by tile in numpy, where only pairs of similar sizes and signatures come out. So no link between components is lost, and
+no bucket is expanded into its pairs. Every link is confirmed on the full sets.
 
 Defined results: null and empty texts have empty sets and are linked with nothing; rows with one id count as one
 document; rows with a null id join the component of their equals, or none (null).
@@ -38,6 +39,8 @@ BANDS = 2 * HASHES // ROWS
 AGREE = 158
 #: Shingles hashed at a time.
 CHUNK = 2048
+#: Members of a bucket that meet those of another tile at a time.
+TILE = 256
 #: Members of a star that one task compares with its pivot.
 STAR = 500
 #: Bits of the map that keeps texts which no pair needs out of the shuffle.
@@ -47,12 +50,15 @@ _FACTORS = common.constants(HASHES, 3) | np.uint64(1)
 _STEPS = common.constants(64, 5) | np.uint64(1)
 
 
+_WORDS = common.WordCache(200_000)
+
+
 class Shingler:
     """Sets of 64-bit shingle hashes of texts in UTF-8."""
 
     def __init__(self, words: int):
         self.words = words
-        self.known = common.WordCache(500_000)
+        self.known = _WORDS
 
     def set_of(self, text: bytes) -> np.ndarray:
         """The sorted distinct shingle hashes."""
@@ -130,6 +136,38 @@ def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return common.in_arrow(both, work, schema)
 
 
+def _tiles(rows: DataFrame, name: str) -> DataFrame:
+    """(k, name): the rows (k, id, n, c, sig) of each bucket in lists of about ``TILE``, dealt by a hash of the id."""
+    counts = rows.groupBy("k").agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE)).alias("__m"))
+    dealt = rows.join(counts, "k").withColumn("__t", F.pmod(F.xxhash64("id"), F.col("__m")))
+    return dealt.groupBy("k", "__t").agg(F.collect_list(F.struct("id", "n", "c", "sig")).alias(name)).drop("__t")
+
+
+def _between(minor: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a bucket's classes in different components, with similar sizes and signatures."""
+    met = _tiles(minor, "xs").join(_tiles(whole, "ys"), "k").select("xs", "ys")
+    kind = whole.schema["id"].dataType.simpleString()
+
+    def fields(rows: pa.Array) -> tuple:
+        sig = np.frombuffer(b"".join(rows.field("sig").to_pylist()), np.uint8).reshape(len(rows), -1)
+        n, c = (rows.field(f).to_numpy(zero_copy_only=False) for f in ("n", "c"))
+        return rows.field("id"), n, c, sig
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in zip(batch.column(0), batch.column(1), strict=True):
+                (xi, xn, xc, xs), (yi, yn, yc, ys) = fields(x.values), fields(y.values)
+                for i in range(len(xi)):
+                    fit = (yc != xc[i]) & (np.minimum(yn, xn[i]) * 100 >= np.maximum(yn, xn[i]) * percent)
+                    fit[fit] = (ys[fit] == xs[i]).sum(1) >= AGREE
+                    if fit.any():
+                        b = yi.filter(pa.array(fit))
+                        yield pa.RecordBatch.from_arrays([xi.take(pa.array([i] * len(b))), b], ["a", "b"])
+
+    found = common.in_arrow(met, work, f"a {kind}, b {kind}")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _needed(ids: DataFrame, texts: DataFrame) -> DataFrame:
     """The rows of ``texts`` whose id may be among ``ids``, by a bitmap of ``BITS`` hash buckets; never fewer."""
     bucket = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(BITS))
@@ -199,15 +237,14 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, percent: int = PER
     links = common.stage(_confirmed(_alike(star, classes), texts, words, percent), "stars")
     found = common.stage(components(links), "components")
 
-    # what is left: classes of one bucket in different components; all but the largest component's meet all others
+    # what is left: classes of one bucket in different components; three at most have all met already
     placed = alive.select("k", "id", "n").join(found.toDF("id", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
-    split = placed.groupBy("k").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("k")
+    split = placed.groupBy("k").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("m")).where("c0 < c1 AND m > 3").select("k")
     open_ = common.stage(placed.join(split, "k", "left_semi"), "open")
     main = open_.groupBy("k", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("k").agg(F.max_by("c", F.struct("m", "c")).alias("main"))
-    minor = open_.join(main, "k").where("c <> main").select("k", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"))
-    rest = minor.join(open_, "k").where((F.col("c") != F.col("cx")) & _sizes_fit("n", "nx", percent)).select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-    rest = rest.join(star, ["a", "b"], "left_anti")
-    more = common.stage(_confirmed(_alike(rest, classes), texts, words, percent), "links")
+    marked_open = common.stage(open_.join(main, "k").join(classes.select("id", "sig"), "id").withColumn("minor", F.col("c") != F.col("main")), "marked")
+    rest = _between(marked_open.where("minor").select("k", "id", "n", "c", "sig"), marked_open.select("k", "id", "n", "c", "sig"), percent).join(star, ["a", "b"], "left_anti")
+    more = common.stage(_confirmed(rest, texts, words, percent), "links")
     over = components(more.join(found.toDF("a", "ca"), "a", "left").join(found.toDF("b", "cb"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
     found = found.join(over.toDF("component", "wider"), "component", "left").select("node", F.coalesce("wider", "component").alias("component"))
     single = over.join(found.select("node"), "node", "left_anti")
