@@ -179,7 +179,7 @@ class Codec:
         self.labels = self.automaton.label | {i: t.encode() for t, i in self.special.items()}
         self.split = regex.compile(SPLIT)
         self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.known = common.WordCache(500_000)
+        self.known = common.WordCache(200_000)
         self.tails: dict[str, bytes] = {}
 
     def encode_texts(self, texts: list[str]) -> list[bytes]:
@@ -210,7 +210,7 @@ class Codec:
         if found is None:
             ids = [self.special[word]] if word in self.special else self.automaton.encode_word(word.encode())
             found = b"".join([n.to_bytes(4, "little") for n in ids])
-            if word[0] != " " and len(self.tails) < 200_000:
+            if word[0] != " " and len(self.tails) < 50_000:
                 self.tails[word] = found
         return found
 
