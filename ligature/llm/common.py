@@ -121,16 +121,11 @@ class WordCache(dict):
         self.limit = limit
 
     def missing(self, keys: set, keep: bool = False) -> list:
-        """Bring known keys into the young generation and return the unknown ones; with ``keep``, forget nothing now."""
+        """Bring known keys into the young generation and return the others; with ``keep``, forget nothing now."""
         if len(self) >= self.limit and not keep:
             self.old = dict(self)
             self.clear()
-        unknown = []
-        for k in keys:
-            if k not in self:
-                v = self.old.get(k)
-                if v is None:
-                    unknown.append(k)
-                else:
-                    self[k] = v
-        return unknown
+        unknown = keys - self.keys()
+        for k in unknown & self.old.keys():
+            self[k] = self.old[k]
+        return list(unknown - self.old.keys())

@@ -10,6 +10,7 @@ Defined results: null and empty texts have 0 tokens; rows are counted one by one
 from __future__ import annotations
 
 import os
+import struct
 import threading
 from collections.abc import Iterator
 
@@ -65,12 +66,10 @@ class Encoder:
 
     def packed(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        import numpy as np
-
         out = []
         for i, j in common.byte_slices([len(t) for t in texts], TEXT_BYTES):
             cut = [_cut(t) for t in texts[i:j]]
-            self._learn(self.ids, cut, lambda ids: np.array(ids, "<u4").tobytes())
+            self._learn(self.ids, cut, _little)
             get = self.ids.__getitem__
             out += [b"".join(map(get, pieces)) for pieces in cut]
         return out
@@ -93,6 +92,10 @@ class Encoder:
 _ENDS = (b".", b",")
 
 
+def _little(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _cut(text: bytes) -> list[bytes]:
     """The pieces between ASCII white space. The vocabulary ignores case; in ASCII text without a marker of special
     tokens it can be dropped here, which makes more pieces equal."""
