@@ -44,17 +44,21 @@ def _header(kind: Column, digest: Column, length: Column, refers_to: Column, dat
 def write_archive(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html", least: int = LEAST, date: str = "2000-01-01T00:00:00Z", path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Write the tables (key, header, digest) and (digest, payload); return them as read from the shared folder.
 
-    The bodies are shuffled once, by digest and id, so that copies of one payload are spread out; what is grouped by
-    digest alone are digests and ids, which are combined before the shuffle.
+    What is grouped by digest are digests and ids, combined before the shuffle. Bodies meet only the table of payloads
+    that occur several times, which the optimiser broadcasts if its files are small; else they are shuffled by digest
+    and, for the copies, by id too, so that copies of one payload are spread out.
     """
     base = path or common.new_path(pages.sparkSession, "warc")
     rows = pages.select(F.col(key).alias("__id"), F.col(url).alias("__url"), F.encode(F.coalesce(F.col(body), F.lit("")), "UTF-8").alias("__payload"))
     rows = rows.withColumn("__digest", F.sha2("__payload", 256)).withColumn("__name", F.coalesce(F.col("__id").cast("string"), F.lit("-")))
     thin = rows.select("__id", "__url", "__digest", F.octet_length("__payload").cast("long").alias("__length"))
 
-    keepers = rows.select("__digest", "__name").groupBy("__digest").agg(F.min("__name").alias("__name"))
-    kept = rows.select("__digest", "__name", "__payload").join(keepers, ["__digest", "__name"], "left_semi")
-    payloads = common.stage(kept.dropDuplicates(["__digest", "__name"]).select(F.col("__digest").alias("digest"), F.col("__payload").alias("payload")), "payloads", f"{base}/payloads")
+    # most payloads occur once and stay where they are; of the others, one row each is picked by a small table
+    shared = rows.select("__digest", "__name").groupBy("__digest").agg(F.min("__name").alias("__name"), F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    shared = common.stage(shared.select("__digest", "__name"), "shared", f"{base}/shared")
+    single = rows.join(shared.select("__digest"), "__digest", "left_anti").select("__digest", "__payload")
+    several = rows.join(shared, ["__digest", "__name"], "left_semi").dropDuplicates(["__digest", "__name"]).select("__digest", "__payload")
+    payloads = common.stage(single.unionByName(several).toDF("digest", "payload"), "payloads", f"{base}/payloads")
 
     first = thin.where(F.col("__length") >= least).groupBy("__digest").agg(F.min("__id").alias("__first"))
     joined = thin.join(first, "__digest", "left")
