@@ -38,6 +38,7 @@ STOP_WORDS = frozenset(
 )
 _RAW = "script|style|noscript|template|textarea|svg|math|iframe|select|object|title"
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"<>]*\"|'[^'<>]*')*+)[^<>]*>", re.S | re.I)
+_OPEN = re.compile(r"<[/!a-zA-Z][^<>]*\Z")
 #: Tags inside a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -146,7 +147,7 @@ def blocks_of(page: str) -> list[Block]:
                 stack.append((tag, place))
                 place = inner
     if at < len(page):
-        parts.append(page[at:].split("<!--")[0])
+        parts.append(_OPEN.sub("", page[at:].split("<!--")[0]))
     flush()
     return out
 
