@@ -125,7 +125,12 @@ class WordCache(dict):
         if len(self) >= self.limit and not keep:
             self.old = dict(self)
             self.clear()
-        unknown = keys - self.keys()
-        for k in unknown & self.old.keys():
-            self[k] = self.old[k]
-        return list(unknown - self.old.keys())
+        # key by key: differences of sets and key views walk through the whole cache
+        unknown = [k for k in keys if k not in self]
+        if self.old and unknown:
+            old = self.old
+            for k in unknown:
+                if k in old:
+                    self[k] = old[k]
+            unknown = [k for k in unknown if k not in old]
+        return unknown
