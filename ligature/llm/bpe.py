@@ -78,6 +78,7 @@ class Automaton:
                 self.usable.add(u + v)
         self.tokens = {t: vocabulary[t] for t in self.usable}
         self.longest = max(map(len, self.tokens), default=0)
+        del self.first, self.usable  # not needed to encode
         self._states: dict[bytes, tuple[list[int], list[int]]] = {}
 
     def _number(self, roots: list[bytes], grown: dict[bytes, list[bytes]]) -> None:

@@ -50,24 +50,18 @@ _FACTORS = common.constants(HASHES, 3) | np.uint64(1)
 _STEPS = common.constants(64, 5) | np.uint64(1)
 
 
-_WORDS = common.WordCache(200_000)
-
-
 class Shingler:
     """Sets of 64-bit shingle hashes of texts in UTF-8."""
 
     def __init__(self, words: int):
         self.words = words
-        self.known = _WORDS
 
     def set_of(self, text: bytes) -> np.ndarray:
         """The sorted distinct shingle hashes."""
         cut = text.lower().split()  # of bytes: only A-Z and ASCII white space
         if not cut:
             return np.zeros(0, np.uint64)
-        for w in self.known.missing(set(cut)):
-            self.known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(self.known.__getitem__, cut), np.uint64, len(cut))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, cut), np.uint64, len(cut))
         k = min(self.words, len(h))
         out = np.full(len(h) - k + 1, np.uint64(k))
         for j in range(k):
