@@ -23,7 +23,7 @@ def records_of(tsv: DataFrame) -> DataFrame:
 
 def gold_pairs(gold: DataFrame) -> DataFrame:
     """(s1_id, cand_id, cand_source) from id lists joined by commas; an empty list gives no row."""
-    ids = F.filter(F.transform(F.split("matched_entity_ids", ","), F.trim), lambda x: x != "")
+    ids = F.filter(F.transform(F.split("matched_entity_ids", ","), lambda x: F.trim(x)), lambda x: x != "")
     return gold.select(F.col("source1_entity_id").alias("s1_id"), F.explode(ids).alias("cand_id")).distinct().withColumn("cand_source", F.substring("cand_id", 2, 1).cast("int") - 2)
 
 

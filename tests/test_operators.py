@@ -16,8 +16,8 @@ def test_tsv_keeps_quotes_and_empty_fields(spark, tmp_path):
 
 
 def test_ids_and_gold_lists(spark):
-    df = spark.createDataFrame([("S1-1", "S2-7,S3-8"), ("S1-2", "")], "source1_entity_id string, matched_entity_ids string")
-    assert sorted(map(tuple, records.gold_pairs(df).collect())) == [("S1-1", "S2-7", 0), ("S1-1", "S3-8", 1)]
+    df = spark.createDataFrame([("S1-1", "S2-7, S3-80"), ("S1-2", "")], "source1_entity_id string, matched_entity_ids string")
+    assert sorted(map(tuple, records.gold_pairs(df).collect())) == [("S1-1", "S2-7", 0), ("S1-1", "S3-80", 1)]
     r = spark.createDataFrame([("S2-7",), ("X",)], "i string").select(records.encoded_id("i").alias("c")).collect()
     assert [x["c"] for x in r] == [2_000_000_000_007, None]
 
