@@ -10,7 +10,8 @@ Features see the text only: shares of kinds of characters, repetition of words a
 of bytes. Texts are read in slices, so a text of any length needs bounded memory besides itself.
 
 Defined results: null texts count as empty; ids with several different labels, or a null one, teach nothing; without
-labelled positives every score is the estimated prior (0.5 if nothing is known); repeated rows get equal scores.
+labelled positives every score is the estimated prior (0.5 if nothing is known); repeated rows get equal scores; an id
+on several rows is drawn once, with the smallest of its texts; documents without an id are scored but teach nothing.
 """
 
 from __future__ import annotations
@@ -229,7 +230,7 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: s
     sure = sure.where("label = high AND n = rows AND __key IS NOT NULL").select("__key", "label")
     order = F.xxhash64(F.col("__key").cast("string"), F.lit(11))
     texts = documents.select(F.col(key).alias("__key"), F.encode(common.text_or_empty(text), "UTF-8").alias("__text"))
-    ids = documents.select(F.col(key).alias("__key"))
+    ids = documents.select(F.col(key).alias("__key")).where("__key IS NOT NULL").distinct()
     taught = ids.join(sure, "__key")
     picked = [
         taught.where("label = 1").orderBy(order, "__key").limit(sample).select("__key", F.lit(1).alias("kind")),
@@ -237,8 +238,8 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: s
         ids.join(given.select("__key").distinct(), "__key", "left_anti").orderBy(order, "__key").limit(sample).select("__key", F.lit(2).alias("kind")),
     ]
     wanted = picked[0].unionByName(picked[1]).unionByName(picked[2])
-    drawn = texts.join(F.broadcast(wanted), "__key").orderBy("kind", "__key")  # of a bounded number of ids
-    rows = _features(drawn, ("__key", "kind")).limit(3 * sample + 1000).collect()
+    drawn = texts.join(F.broadcast(wanted), "__key").groupBy("__key", "kind").agg(F.min("__text").alias("__text"))
+    rows = _features(drawn, ("__key", "kind")).collect()  # one row for each drawn id
     rows.sort(key=lambda r: (r.kind, r["__key"]))
     x = {k: np.array([np.frombuffer(r.x, np.float32) for r in rows if r.kind == k]).reshape(-1, SIZE) for k in (0, 1, 2)}
     if not len(x[1]):

@@ -160,6 +160,22 @@ def test_quality_edges(spark, docs):
     assert np.isfinite(quality.describe(b"")).all() and np.isfinite(quality.describe(b"\n")).all()
 
 
+def test_repeated_rows_are_drawn_once(spark):
+    rows = [(i, "the river and stone of " + text_of(30, i)) for i in range(400)] + [(1000 + i, f"ZX{i}!! QQ## " * 20) for i in range(100)]
+    hot = next(i for i in range(1000, 1050) if zlib.crc32(str(i).encode()) % 4 != 2)
+    labels = spark.createDataFrame([(i, 1) for i in range(200)] + [(1000 + i, 0) for i in range(50)], "doc_id long, quality int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    often = once.unionByName(once.where(F.col("doc_id").isin(hot, 3, 300)).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(45)))).drop("n"))
+    a, b = (quality.learn(d, labels, sample=300) for d in (once, often))
+    assert np.abs(a.weights).max() > 0 and np.allclose(a.weights, b.weights) and np.isclose(a.prior, b.prior)
+    picked = spark.createDataFrame([(1, "zz"), (1, "river of stone"), (2, "the sea"), (None, "x")], "doc_id long, text string")
+    seen = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(quality, "_features", lambda df, keep, f=quality._features: (seen.extend(df.collect()), f(df, keep))[1])
+        quality.learn(picked, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
+    assert sorted((r["__key"], r["kind"], bytes(r["__text"])) for r in seen) == [(1, 1, b"river of stone"), (2, 2, b"the sea")]
+
+
 def test_held_out(spark):
     df = spark.createDataFrame([(i,) for i in range(40)] + [(None,)], "doc_id long")
     got = {r["doc_id"]: r["h"] for r in df.withColumn("h", quality.held_out()).collect()}
