@@ -38,6 +38,13 @@ def translit_text(spark, d):
     return w.select("doc_id", names.is_ascii(F.col("w")).alias("ascii"), names.fold_latin(F.col("w")).alias("folded"))
 
 
+@query("SELECT doc_id, coalesce(NOT regexp_matches(text, '[^\\x00-\\x7F]'), true) AS ascii, replace(strip_accents(coalesce(text, '')), 'ß', 'ss') AS folded FROM documents")
+def translit_whole_text(spark, d):
+    """As ``translit_text``, on whole texts; a null text counts as empty."""
+    w = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("w"))
+    return w.select("doc_id", names.is_ascii(F.col("w")).alias("ascii"), names.fold_latin(F.col("w")).alias("folded"))
+
+
 _STATES = [(k, v) for k, v in constants.STATES.items() if k != "j & k"]
 _NAMES, _CODES = [k for k, _ in _STATES], [v for _, v in _STATES]
 _AT = "CAST(c_custkey % {n} AS INTEGER) + 1"

@@ -32,3 +32,14 @@ def test_against_sql(spark, name):
 
 def test_every_statement_names_a_query():
     assert set(registry.oracle_sql()) <= set(registry.queries())
+
+
+def test_whole_texts_against_sql(spark):
+    test_against_sql(spark, "translit_whole_text")
+
+
+def test_whole_texts(spark, tmp_path):
+    rows = [(1, "one two three four five six séven"), (2, "plain words only, but more than six of them"), (3, None), (4, ""), (5, "x " * 9000 + "Großé")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["ascii"], r["folded"]) for r in registry.queries()["translit_whole_text"](spark, str(tmp_path)).collect()}
+    assert got == {1: (False, "one two three four five six seven"), 2: (True, rows[1][1]), 3: (True, ""), 4: (True, ""), 5: (False, "x " * 9000 + "Grosse")}
