@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import addresses, constants, names, vectors
 from ..operators import blocking, candidates, tfidf, topk
+from ..session import stage
 from ..sources import records
 from . import sql as S
 from . import tables as T
@@ -199,6 +200,26 @@ def tfidf_topk_reverse(spark, d):
     return tfidf.topk(w.where("source = 2"), w.where("source = 1"), 5).withColumn("score", T.rounded(F.col("score")))
 
 
+_TF_WHOLE = """SELECT q, p, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY q, src ORDER BY round(score, 9) DESC, p) AS rank FROM
+    (SELECT a.id AS q, b.id AS p, b.source AS src, sum(a.w * b.w) AS score FROM wts a JOIN wts b ON a.country = b.country AND a.term = b.term AND {on} GROUP BY a.id, b.id, b.source)) WHERE rank <= {k}"""
+
+
+@query(_TF_WHOLE.format(on="a.source = 1 AND b.source > 1", k=10))
+def tfidf_topk_pool(spark, d):
+    """As ``tfidf_topk``, in each source of the pool."""
+    w = stage(_postings(spark, d)[2], "postings")
+    q = w.where("source = 1")
+    found = tfidf.topk(q, w.where("source = 2"), 10).unionByName(tfidf.topk(q, w.where("source = 3"), 10))
+    return found.withColumn("score", T.rounded(F.col("score")))
+
+
+@query(_TF_WHOLE.format(on="a.source > 1 AND b.source = 1", k=5))
+def tfidf_topk_pool_reverse(spark, d):
+    """As ``tfidf_topk_reverse``, for the records of all sources of the pool."""
+    w = stage(_postings(spark, d)[2], "postings")
+    return tfidf.topk(w.where("source > 1"), w.where("source = 1"), 5).withColumn("score", T.rounded(F.col("score")))
+
+
 _LEARN = """SELECT src, dst, n, share FROM (SELECT src, dst, n, n / sum(n) OVER (PARTITION BY src) AS share, row_number() OVER (PARTITION BY src ORDER BY n DESC, dst) AS rn FROM
     (SELECT s[i] AS src, t[i] AS dst, count(*) AS n FROM (SELECT s, t, unnest(generate_series(1, len(s))) AS i FROM (SELECT list_filter(y, lambda w: NOT list_contains(x, w)) AS s, list_filter(x, lambda w: NOT list_contains(y, w)) AS t FROM
       (SELECT a.full_t AS x, b.full_t AS y FROM norm a JOIN norm b ON a.country = b.country AND a.addr_tokens[1] = b.addr_tokens[1] AND a.addr_tokens[3] = b.addr_tokens[3] AND a.source = 1 AND b.source > 1))

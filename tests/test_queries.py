@@ -43,3 +43,11 @@ def test_whole_texts(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r["doc_id"]: (r["ascii"], r["folded"]) for r in registry.queries()["translit_whole_text"](spark, str(tmp_path)).collect()}
     assert got == {1: (False, "one two three four five six seven"), 2: (True, rows[1][1]), 3: (True, ""), 4: (True, ""), 5: (False, "x " * 9000 + "Grosse")}
+
+
+@pytest.mark.parametrize("name", ["tfidf_topk_pool", "tfidf_topk_pool_reverse"])
+def test_tfidf_searches_every_source(spark, name):
+    test_against_sql(spark, name)
+    side = "q" if name.endswith("reverse") else "p"
+    got = registry.queries()[name](spark, SF).select(side).distinct().collect()
+    assert {r[side].split("-")[0] for r in got} == {"S2", "S3"}
