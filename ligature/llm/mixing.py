@@ -34,6 +34,7 @@ CLASSES = 4096
 #: Documents that a block holds at least, on average, where its source has so many.
 LEAST = 64
 SEED = 20
+KEY = ("doc_id", "source", "size")
 
 
 def _hash(seed: int, *columns: str | Column) -> Column:
@@ -161,7 +162,12 @@ def sizes_of(documents: DataFrame) -> DataFrame:
 
 def mix(documents: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """The mixed documents: each row as often as it is drawn, dealt out by shard and shuffled within each."""
-    chosen = plan(sizes_of(documents), shards, seed).where("copies > 0").groupBy("doc_id", "source").agg(F.max("shards").alias("__shards"))
+    return dealt(documents, plan(sizes_of(documents), shards, seed), seed)
+
+
+def dealt(documents: DataFrame, planned: DataFrame, seed: int = SEED) -> DataFrame:
+    """The rows of ``documents`` as ``planned`` draws them."""
+    chosen = planned.where("copies > 0").groupBy("doc_id", "source").agg(F.max("shards").alias("__shards"))
     chosen = chosen.withColumnsRenamed({"doc_id": "__d", "source": "__s"})
     both = documents.join(chosen, documents["doc_id"].eqNullSafe(chosen["__d"]) & documents["source"].eqNullSafe(chosen["__s"]))
     out = both.select(*[documents[c] for c in documents.columns], F.posexplode("__shards").alias("__copy", "__shard"))
@@ -171,5 +177,16 @@ def mix(documents: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFra
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = plan(sizes_of(common.table(spark, sf_dir, "documents")))
-    return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    """What is taken of every document, counted in the written mix; equal rows of ``KEY`` share what was taken."""
+    documents = common.table(spark, sf_dir, "documents")
+    planned = common.stage(plan(sizes_of(documents)), "plan")
+    mixed = common.stage(dealt(documents.select("doc_id", "source", "text"), planned), "mix")
+    size = F.regexp_count(common.text_or_empty(), F.lit(common.WORD)).cast("long").alias("size")
+    emitted = mixed.select("doc_id", "source", size).groupBy(*KEY).agg(F.sum("size").alias("words"))
+    emitted = common.stage(emitted.select(*[F.col(c).alias(f"__{c}") for c in KEY], "words"), "taken")
+    common.discard(mixed)
+    rows = planned.groupBy(*KEY).agg(F.count(F.lit(1)).alias("rows"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
+    same = [rows[c].eqNullSafe(emitted[f"__{c}"]) for c in KEY]
+    found = rows.join(emitted, same[0] & same[1] & same[2], "left")
+    taken = F.coalesce(F.expr("words div rows"), F.lit(0)).alias("taken")
+    return found.select("doc_id", "size", "source_size", "target", taken, F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("__row")).drop("__row")

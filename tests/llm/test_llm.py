@@ -368,6 +368,19 @@ def test_empty_mix(spark):
     assert mixing.plan(spark.createDataFrame([], "doc_id long, source string, size long")).count() == 0
 
 
+def test_mix_query_counts_the_written_rows(spark, tmp_path, monkeypatch):
+    rows = [(i, text_of(i % 50, i), f"s{i % 3}") for i in range(400)] + [(9, "one two", None), (None, "a b c", "s0"), (7, text_of(7, 7), "s1"), (7, "x", "s1")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    planned = mixing.plan(mixing.sizes_of(docs)).collect()
+    want = sorted(str((r["doc_id"], r["size"], r["source_size"], r["target"], r["copies"] * r["size"])) for r in planned)
+    assert sorted(str(tuple(r)) for r in mixing.op10_source_mix(spark, str(tmp_path)).collect()) == want
+    lost = next(r["doc_id"] for r in planned if r["copies"] and r["size"] and (r["doc_id"] or 0) > 9)
+    whole = mixing.dealt
+    monkeypatch.setattr(mixing, "dealt", lambda *a: whole(*a).where(F.col("doc_id") != lost))
+    assert [r["taken"] for r in mixing.op10_source_mix(spark, str(tmp_path)).where(F.col("doc_id") == lost).collect()] == [0]
+
+
 def test_words_are_counted_as_runs(docs, texts):
     got = {r["doc_id"]: r["size"] for r in mixing.sizes_of(docs).collect()}
     assert got == {k: len(t.encode().split()) for k, t in texts.items()}
