@@ -161,12 +161,11 @@ def classify(block: Block) -> str:
         return "bad"
     if block.place > 0:
         return "good"
-    if block.text.startswith("©") or "copyright" in block.text[:200].lower():
-        return "bad"
-    if len(block.text) < SHORT:
-        return "bad" if block.linked else "short"
     words = _LETTERS.findall(block.text.lower())
     stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    if len(block.text) < SHORT:
+        notice = block.text.startswith("©") or "copyright" in block.text.lower()
+        return "bad" if block.linked or (notice and stops < FEW) else "short"
     if stops >= MANY:
         return "good" if len(block.text) > LONG else "near"
     return "near" if stops >= FEW else "bad"

@@ -320,6 +320,12 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+def test_long_text_on_copyright_stays():
+    law = "Copyright is the right of an author, and it is for the state to say how long it will be theirs. " + GOOD.strip()
+    page = f"<p>{GOOD}</p><p>{law}</p><p>brief</p><p>{GOOD}</p><p>© 2020 Stone Ltd</p><p>Copyright Stone Ltd</p>"
+    assert html.main_text(page) == "\n".join([GOOD.strip(), law, "brief", GOOD.strip()])
+
+
 def test_extract_rows(spark):
     df = spark.createDataFrame([(1, "u", None), (2, None, "<article>x</article>"), (2, None, "<article>x</article>")], "page_id long, url string, html string")
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in html.extract(df).collect()) == [(1, "", 0), (2, "x", 1), (2, "x", 1)]
