@@ -8,9 +8,12 @@ candidates; at a similarity of 0.8, all 40 bands of 6 fail for one pair in 190,0
 
 Documents with equal sets are one class. In each bucket of a band the smallest and the largest class are compared with
 all others, which is linear in the bucket and joins nearly all of a group of copies. What is left are classes of one
-bucket in different components: all that are not in the bucket's largest component are compared with the others, tile
-by tile in numpy, where only pairs of similar sizes and signatures come out. So no link between components is lost, and
-no bucket is expanded into its pairs. Every link is confirmed on the full sets.
+bucket in different components: those outside the bucket's largest component are compared with all others on their full
+sets, within cells that one task holds, by products of 0/1 matrices. Only links that join components leave a cell, so
+no bucket is expanded into its pairs and no link between components is lost.
+
+Before the sets of a smallest or largest class and another one are compared, their signatures are: at 0.8,
+158 of 240 bytes must agree, which a pair fails with a chance below 1e-7; ``agree=0`` leaves this out.
 
 Defined results: null and empty texts have empty sets and are linked with nothing; rows with one id count as one
 document; rows with a null id join the component of their equals, or none (null).
@@ -35,15 +38,17 @@ PERCENT = 80
 HASHES = 120
 ROWS = 6
 BANDS = 2 * HASHES // ROWS
-#: Matching bytes of two signatures below which they are not compared further: over 5 standard deviations under 0.8.
-AGREE = 158
 #: Shingles hashed at a time.
 CHUNK = 2048
-#: Members of a bucket that meet those of another tile at a time.
+#: Classes of a bucket that one task holds, where their sets have ``MEAN`` shingles at most on average.
+CELL = 4096
+MEAN = 1024
+#: Rows and columns of the matrices that count common shingles.
 TILE = 256
+COLUMNS = 8192
 #: Members of a star that one task compares with its pivot.
 STAR = 500
-#: Bits of the map that keeps texts which no pair needs out of the shuffle.
+#: Least bits of the map that keeps texts which no pair needs out of the shuffle.
 BITS = 1 << 20
 
 _FACTORS = common.constants(HASHES, 3) | np.uint64(1)
@@ -111,12 +116,21 @@ def signatures(documents: DataFrame, words: int, key: str, text: str) -> DataFra
     return common.in_arrow(source, work, schema)
 
 
+def agreement(percent: int) -> int:
+    """Matching bytes of two signatures, of sets at ``percent``, that all but one pair in ten million reach: 5.4 standard
+    deviations under the mean."""
+    p, n = percent / 100, 2 * HASHES
+    return max(0, int(n * (p + (1 - p) / 256) - 5.4 * (n * p * (1 - p)) ** 0.5))
+
+
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures agree in ``AGREE`` bytes at least."""
+def _alike(pairs: DataFrame, classes: DataFrame, agree: int) -> DataFrame:
+    """The pairs (a, b) whose signatures agree in ``agree`` bytes at least."""
+    if not agree:
+        return pairs.select("a", "b")
     sig = classes.select("id", "sig")
     both = pairs.join(sig.toDF("a", "__sa"), "a").join(sig.toDF("b", "__sb"), "b").select("a", "b", "__sa", "__sb")
     schema = pairs.select("a", "b").schema.simpleString()[7:-1]
@@ -125,48 +139,108 @@ def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
-                yield batch.select([0, 1]).filter(pa.array((x == y).sum(1) >= AGREE))
+                yield batch.select([0, 1]).filter(pa.array((x == y).sum(1) >= agree))
 
     return common.in_arrow(both, work, schema)
 
 
-def _tiles(rows: DataFrame, name: str) -> DataFrame:
-    """(k, name): the rows (k, id, n, c, sig) of each bucket in lists of about ``TILE``, dealt by a hash of the id."""
-    counts = rows.groupBy("k").agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE)).alias("__m"))
-    dealt = rows.join(counts, "k").withColumn("__t", F.pmod(F.xxhash64("id"), F.col("__m")))
-    return dealt.groupBy("k", "__t").agg(F.collect_list(F.struct("id", "n", "c", "sig")).alias(name)).drop("__t")
-
+def _linked_cells(open_rows: DataFrame, sets: DataFrame, percent: int, cell: int = CELL) -> DataFrame:
+    """Links (a, b) between different components of a bucket, enough of them to join all that are linked.
 
-def _between(minor: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a bucket's classes in different components, with similar sizes and signatures."""
-    met = _tiles(minor, "xs").join(_tiles(whole, "ys"), "k").select("xs", "ys")
-    kind = whole.schema["id"].dataType.simpleString()
-
-    def fields(rows: pa.Array) -> tuple:
-        sig = np.frombuffer(b"".join(rows.field("sig").to_pylist()), np.uint8).reshape(len(rows), -1)
-        n, c = (rows.field(f).to_numpy(zero_copy_only=False) for f in ("n", "c"))
-        return rows.field("id"), n, c, sig
+    ``open_rows`` are (k, id, n, c, minor): the classes of each bucket, their components, and whether a class lies
+    outside the bucket's largest component. A bucket of up to ``cell`` classes and as many times ``MEAN`` shingles is
+    one cell, which one task holds; a larger one is dealt into groups by a hash of the id, and each pair of groups is a
+    cell of its own. A row travels with its set, once for each cell, and only confirmed links leave a cell.
+    """
+    kind = open_rows.schema["id"].dataType.simpleString()
+    groups = open_rows.groupBy("k").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(cell)), F.ceil(F.sum("n") / F.lit(cell * MEAN))).cast("int").alias("groups"))
+    rows = open_rows.join(groups, "k").withColumn("g", F.pmod(F.xxhash64("id"), F.col("groups")).cast("int"))
+    rows = rows.join(sets, "id").select("k", "id", "n", "c", "minor", "g", "hashes", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("other"))
+    rows = rows.select("k", F.least("g", "other").alias("i"), F.greatest("g", "other").alias("j"), "id", "n", "c", "minor", "g", "hashes")
+
+    def work(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids = table.column("id").combine_chunks()
+        n, g = (table.column(x).to_numpy() for x in ("n", "g"))
+        minor = np.array(table.column("minor").to_pylist(), bool)
+        c = table.column("c").to_pylist()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("hashes").combine_chunks()]
+        left = np.flatnonzero(g == key[1].as_py())
+        right = np.flatnonzero(g == key[2].as_py())
+        found = _forest(left, right, sets, n, minor, c, percent)
+        a, b = (pa.array([x[i] for x in found], pa.int64()) for i in (0, 1))
+        return pa.table([ids.take(a), ids.take(b)], ["a", "b"])
+
+    common.tune(open_rows.sparkSession)
+    return rows.groupBy("k", "i", "j").applyInArrow(work, f"a {kind}, b {kind}")
+
+
+def _forest(left: np.ndarray, right: np.ndarray, sets: list[np.ndarray], n: np.ndarray, minor: np.ndarray, c: list, percent: int) -> list[tuple[int, int]]:
+    """Linked pairs of a row in ``left`` and one in ``right``, one of them minor, that join components not yet joined."""
+    above: dict = {}
+
+    def root(x):
+        while x in above:
+            x = above[x]
+        return x
+
+    out = []
+    for xs, ys in ((left[minor[left]], right), (left[~minor[left]], right[minor[right]])):
+        for p in range(0, len(xs), TILE):
+            for q in range(0, len(ys), TILE):
+                x, y = xs[p : p + TILE], ys[q : q + TILE]
+                shared = _intersections([sets[i] for i in x], [sets[i] for i in y])
+                fits = shared * 100 >= percent * (n[x][:, None] + n[y][None, :] - shared)
+                for i, j in np.argwhere(fits).tolist():
+                    u, v = root(c[x[i]]), root(c[y[j]])
+                    if u != v:
+                        above[u] = v
+                        out.append((int(x[i]), int(y[j])))
+    return out
+
+
+def _intersections(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections of two lists of sets: products of 0/1 matrices over the values in both."""
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    rows = [np.repeat(np.arange(len(s)), [len(v) for v in s]) for s in (xs, ys)]
+    both = np.intersect1d(x, y)
+    out = np.zeros((len(xs), len(ys)), np.int64)
+    for at in range(0, len(both), COLUMNS):
+        part = both[at : at + COLUMNS]
+        made = []
+        for values, row, m in ((x, rows[0], len(xs)), (y, rows[1], len(ys))):
+            place = np.searchsorted(part, values)
+            place[place == len(part)] = 0
+            hit = part[place] == values
+            matrix = np.zeros((m, len(part)), np.float32)
+            matrix[row[hit], place[hit]] = 1
+            made.append(matrix)
+        out += (made[0] @ made[1].T).astype(np.int64)
+    return out
+
+
+def _sets(ids: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(id, hashes): the sorted shingle hashes of every id, as binary."""
+    wanted = _needed(ids, texts).join(ids, "id").select("id", "text")
+    kind = texts.schema["id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
         for batch in batches:
-            for x, y in zip(batch.column(0), batch.column(1), strict=True):
-                (xi, xn, xc, xs), (yi, yn, yc, ys) = fields(x.values), fields(y.values)
-                for i in range(len(xi)):
-                    fit = (yc != xc[i]) & (np.minimum(yn, xn[i]) * 100 >= np.maximum(yn, xn[i]) * percent)
-                    fit[fit] = (ys[fit] == xs[i]).sum(1) >= AGREE
-                    if fit.any():
-                        b = yi.filter(pa.array(fit))
-                        yield pa.RecordBatch.from_arrays([xi.take(pa.array([i] * len(b))), b], ["a", "b"])
+            found = [shingler.set_of(t.as_py()).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "hashes"])
 
-    found = common.in_arrow(met, work, f"a {kind}, b {kind}")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return common.in_arrow(wanted, work, f"id {kind}, hashes binary")
 
 
 def _needed(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """The rows of ``texts`` whose id may be among ``ids``, by a bitmap of ``BITS`` hash buckets; never fewer."""
-    bucket = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(BITS))
-    marks = ids.select(bucket("id").alias("k")).groupBy(F.expr("k div 8").alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, cast(k % 8 as int))")).alias("bits")).collect()  # at most BITS / 8 rows
-    bitmap = bytearray(BITS // 8)
+    """The rows of ``texts`` whose id may be among ``ids``, by a bitmap of hash buckets; never fewer. The bitmap has
+    ``BITS`` bits and up to 16 times as many for many ids; beyond, it lets more rows through."""
+    n = ids.count()
+    bits = min(16 * BITS, max(BITS, 1 << (8 * n).bit_length()))
+    bucket = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(bits))
+    marks = ids.select(bucket("id").alias("k")).groupBy(F.expr("k div 8").alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, cast(k % 8 as int))")).alias("bits")).collect()  # at most bits / 8 rows
+    bitmap = bytearray(bits // 8)
     for r in marks:
         bitmap[r["byte"]] = r["bits"]
     held = texts.withColumn("__k", bucket("id"))
@@ -211,7 +285,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     return common.in_arrow(ready, work, f"a {kind}, b {kind}")
 
 
-def near_duplicates(documents: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(documents: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text", agree: int | None = None) -> DataFrame:
     """(key, n_shingles, component_id) of every row of ``documents``; see the module's docstring."""
     marked = common.stage(signatures(documents, words, key, text), "signatures")
     groups = marked.where("n > 0").groupBy("same").agg(F.min("id").alias("rep"))
@@ -228,17 +302,17 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, percent: int = PER
     sizes = classes.select("id", "n")
     star = alive.select(F.col("low").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb")).unionByName(alive.select(F.col("high").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb"))).where("a <> b").distinct()
     star = star.join(sizes.toDF("a", "na"), "a").where(_sizes_fit("na", "nb", percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = common.stage(_confirmed(_alike(star, classes), texts, words, percent), "stars")
+    links = common.stage(_confirmed(_alike(star, classes, agreement(percent) if agree is None else agree), texts, words, percent), "stars")
     found = common.stage(components(links), "components")
 
-    # what is left: classes of one bucket in different components; three at most have all met already
+    # what is left: classes of one bucket in different components; of three at most, all have met already
     placed = alive.select("k", "id", "n").join(found.toDF("id", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
     split = placed.groupBy("k").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("m")).where("c0 < c1 AND m > 3").select("k")
     open_ = common.stage(placed.join(split, "k", "left_semi"), "open")
     main = open_.groupBy("k", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("k").agg(F.max_by("c", F.struct("m", "c")).alias("main"))
-    marked_open = common.stage(open_.join(main, "k").join(classes.select("id", "sig"), "id").withColumn("minor", F.col("c") != F.col("main")), "marked")
-    rest = _between(marked_open.where("minor").select("k", "id", "n", "c", "sig"), marked_open.select("k", "id", "n", "c", "sig"), percent).join(star, ["a", "b"], "left_anti")
-    more = common.stage(_confirmed(rest, texts, words, percent), "links")
+    parted = open_.join(main, "k").select("k", "id", "n", "c", (F.col("c") != F.col("main")).alias("minor"))
+    sets = common.stage(_sets(open_.select("id").distinct(), texts, words), "sets")
+    more = common.stage(_linked_cells(parted, sets, percent), "links")
     over = components(more.join(found.toDF("a", "ca"), "a", "left").join(found.toDF("b", "cb"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
     found = found.join(over.toDF("component", "wider"), "component", "left").select("node", F.coalesce("wider", "component").alias("component"))
     single = over.join(found.select("node"), "node", "left_anti")
