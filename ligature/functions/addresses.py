@@ -56,7 +56,7 @@ def normalize_addresses(df: DataFrame, address: str = "raw_address", country: st
     street_token, house_cands (lists as arrays) and addr_missing."""
     raw = F.coalesce(F.col(address), F.lit(""))
     blank = F.lower(F.trim(raw)).isin("", "null")
-    text = F.when(blank, "").otherwise(F.replace(F.lower(transliterate(replaced(raw, (r"(?i)\b(n[°º]|no\.)\s*(?=\d)", " ")), scripts)), F.lit("&"), F.lit(" and ")))
+    text = F.when(blank, "").otherwise(F.replace(F.lower(transliterate(replaced(raw, (K.NUMBER_SIGN, " ")), scripts)), F.lit("&"), F.lit(" and ")))
     table = mapping(K.ADDRESS_ABBREVIATIONS)
     df = df.withColumn("__t", text).withColumn("__w", words(replaced(F.col("__t"), (r"[^\w\s]", " "))))
     df = df.withColumn("__n", F.transform("__w", lambda t: F.when(t.rlike(NUMBER), unpadded(t)).otherwise(F.coalesce(F.try_element_at(table, t), t))))

@@ -79,23 +79,23 @@ def skeleton(text: Column) -> Column:
 
 def _clean(text: Column, scripts: str) -> Column:
     """Everything up to the tokens, but for the parts after `` dba ``, which need the text before the last steps."""
-    n = F.lower(transliterate(replaced(text, (r"(?i)\b(n[°º]|no\.)\s*(?=\d)", " ")), scripts))
+    n = F.lower(transliterate(replaced(text, (K.NUMBER_SIGN, " ")), scripts))
     last = F.element_at(F.split(n, r"\|"), -1)
-    url = reduce(lambda a, b: a | b, [F.contains(last, F.lit(x)) for x in ("www.", ".com", ".in", ".org", ".net", ".fr")])
+    url = reduce(lambda a, b: a | b, [F.contains(last, F.lit(x)) for x in K.URL_MARKS])
     n = F.when(~F.contains(n, F.lit("|")), n).when(url, F.split_part(n, F.lit("|"), F.lit(1))).otherwise(F.replace(n, F.lit("|"), F.lit(" ")))
-    n = replaced(n, (r"\b(www\.)|(\.com|\.in|\.org|\.net|\.fr)\b", ""))
+    n = replaced(n, (K.URL_AFFIXES, ""))
     n = F.translate(F.replace(n, F.lit("(india)"), F.lit(" ")), "'’", "")
     return n
 
 
 def _folded(n: Column) -> Column:
     # each pass leaves at most a pair of letters apart; three passes reach what repeated ones do
-    acronyms = [(r"\b([a-z])[\.\s]+(?=[a-z]\b)", "$1")] * 3
+    acronyms = [(K.DOTTED_LETTERS, "$1")] * 3
     return F.replace(replaced(n, *acronyms), F.lit("m/s"), F.lit("ms"))
 
 
 def _tokens(n: Column) -> Column:
-    n = replaced(n, (r"[-\s#]+[0-9]{4,}\s*$", ""))
+    n = replaced(n, (K.TRAILING_ID, ""))
     n = replaced(F.replace(n, F.lit("&"), F.lit(" and ")), (r"[^\w\s]", " "))
     table = mapping(K.NAME_ABBREVIATIONS)
 
@@ -125,24 +125,27 @@ def with_name_parts(df: DataFrame, name: str, prefix: str = "", scripts: str = "
     return df.withColumn(p("name_skel"), skeleton(F.col(p("core_name")))).drop(p("toks"), p("full"), p("strong"))
 
 
-def _core_of(df: DataFrame, part: str, out: str, scripts: str) -> DataFrame:
-    made = with_name_parts(df, part, "__h_", scripts).withColumn(out, F.col("__h_core_name"))
-    return made.drop(*[c for c in made.columns if c.startswith("__h_")])
+def _core_of(df: DataFrame, part: str, out: str) -> DataFrame:
+    """The core name of a part that is transliterated already."""
+    df = df.withColumn("__t", _tokens(_folded(_clean(F.col(part), "latin"))))
+    df = df.withColumn("__t", F.filter(without_runs(F.col("__t")), lambda t: ~member(t, K.LEGAL_SUFFIXES)))
+    df = df.withColumn("__s", F.filter("__t", lambda t: ~member(t, K.WEAK_TOKENS)))
+    return df.withColumn(out, F.array_join(F.when(F.size("__s") > 0, F.col("__s")).otherwise(F.col("__t")), " ")).drop("__t", "__s")
 
 
 def _with_halves(df: DataFrame, name: str, scripts: str) -> DataFrame:
     halves = F.split(F.col("folded"), " dba ", 2)
     df = df.withColumn("__a", F.when(F.size(halves) > 1, F.trim(halves[0])).otherwise("")).withColumn("__b", F.when(F.size(halves) > 1, F.trim(halves[1])).otherwise(""))
-    low = F.lower(F.coalesce(F.col(name), F.lit("")))
+    df = df.withColumn("__low", F.lower(transliterate(F.coalesce(F.col(name), F.lit("")), scripts)))
     cut = F.lit(None)
-    for sep in reversed((" a k a ", " aka ", " dba ")):
-        cut = F.when(F.contains(low, F.lit(sep)), F.split(low, sep, 2)).otherwise(cut)
+    for sep in reversed(K.ALIAS_MARKS):
+        cut = F.when(F.contains("__low", F.lit(sep)), F.split("__low", sep, 2)).otherwise(cut)
     df = df.withColumn("__k", cut).withColumn("__ka", F.coalesce(F.trim(F.col("__k")[0]), F.lit(""))).withColumn("__kb", F.coalesce(F.trim(F.col("__k")[1]), F.lit("")))
     for part, out in (("__a", "name_a"), ("__b", "name_b"), ("__ka", "name_aka_a"), ("__kb", "name_aka_b")):
-        df = _core_of(df, part, out, scripts)
+        df = _core_of(df, part, out)
     both = (F.col("__a") != "") & (F.col("__b") != "")
     df = df.withColumns({"name_a": F.when(both, F.col("name_a")).otherwise(F.col("__a")), "name_b": F.when(both, F.col("name_b")).otherwise(F.col("__b"))})
-    return df.drop("__a", "__b", "__k", "__ka", "__kb")
+    return df.drop("__a", "__b", "__low", "__k", "__ka", "__kb")
 
 
 def normalize_names(df: DataFrame, name: str = "raw_name", scripts: str = "all", halves: bool = True) -> DataFrame:
