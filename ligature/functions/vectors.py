@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
+
+
 def dot(a: Column, b: Column) -> Column:
     """Accumulated in double precision; null where a side is missing."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -22,3 +25,9 @@ def hashed_ngrams(text: Column, size: int = 64, n: int = 3) -> Column:
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(padded) - n + 1)), lambda i: F.xxhash64(F.substring(padded, i, F.lit(n))))
     lanes = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda k: F.aggregate(F.filter(grams, lambda h: F.pmod(h, F.lit(size)) == k), F.lit(0.0), lambda s, h: s + F.when(F.shiftright(h, 32) % 2 == 0, 1.0).otherwise(-1.0)))
     return normalized(lanes)
+
+
+def letter_counts(text: Column) -> Column:
+    """A plain text encoder: counts of letters and digits, of unit length."""
+    held = lambda c: (F.length(text) - F.length(F.replace(text, c, F.lit("")))).cast("double")
+    return normalized(F.transform(F.array(*[F.lit(c) for c in LETTERS]), held))

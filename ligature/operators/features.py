@@ -80,29 +80,41 @@ def flag_features(pairs: DataFrame) -> DataFrame:
 def fuzzy_features(pairs: DataFrame, dictionary: Column | None = None) -> DataFrame:
     """Ratios of names, skeletons, addresses and street keys; null where a side is empty, -1 for street keys."""
     ship(pairs.sparkSession)
-    f = {n: similarity.pairwise(getattr(similarity, n)) for n in ("ratio", "token_sort_ratio", "token_set_ratio", "partial_ratio", "jaro_winkler", "lcs_similarity")}
+    m = similarity
     full, core, skel, addr, key = (_both(x) for x in ("name_full", "core_name", "name_skel", "addr_norm", "street_key"))
     longest = F.greatest(F.length(core[0]), F.length(core[1]))
     filled = lambda ab: (ab[0] != "") & (ab[1] != "")
-    parts = lambda p: F.when((F.col(f"a_{p}_a") != "") | (F.col(f"b_{p}_a") != ""), F.greatest(f["token_sort_ratio"](full[0], F.col(f"b_{p}_a")), f["token_sort_ratio"](full[0], F.col(f"b_{p}_b"))))
     mapped = names.rewritten(full[1], dictionary) if dictionary is not None else full[1]
-    out = {
-        "name_token_sort": f["token_sort_ratio"](*full),
-        "name_token_set": f["token_set_ratio"](*full),
-        "core_ratio": f["ratio"](*core),
-        "core_partial": f["partial_ratio"](*core),
-        "skel_ratio": F.when(filled(skel), f["ratio"](*skel)),
-        "addr_token_set": F.when(filled(addr), f["token_set_ratio"](*addr)),
-        "jw_core": f["jaro_winkler"](*core),
+    wanted = {
+        "name_token_sort": (m.token_sort_ratio, *full),
+        "name_token_set": (m.token_set_ratio, *full),
+        "core_ratio": (m.ratio, *core),
+        "core_partial": (m.partial_ratio, *core),
+        "skel_ratio": (m.ratio, *skel),
+        "addr_token_set": (m.token_set_ratio, *addr),
+        "jw_core": (m.jaro_winkler, *core),
+        "lcs_core": (m.lcs_similarity, *core),
+        "compact_ratio": (m.ratio, names.compact(core[0]), names.compact(core[1])),
+        "dict_name_ratio": (m.token_sort_ratio, full[0], mapped),
+        "k_ratio": (m.ratio, *key),
+    }
+    halves = [p for p in ("name", "name_aka") if f"a_{p}_a" in pairs.columns]
+    for p in halves:
+        wanted |= {f"{p}_{h}": (m.token_sort_ratio, full[0], F.col(f"b_{p}_{h}")) for h in "ab"}
+    made = pairs.withColumn("__m", similarity.measures(wanted))
+    got = lambda n: F.col(f"__m.{n}")
+    out = {n: got(n) for n in ("name_token_sort", "name_token_set", "core_ratio", "core_partial", "jw_core", "lcs_core", "compact_ratio", "dict_name_ratio")}
+    out |= {
+        "skel_ratio": F.when(filled(skel), got("skel_ratio")),
+        "addr_token_set": F.when(filled(addr), got("addr_token_set")),
         "lev_core": F.when(longest > 0, 1 - F.levenshtein(*core) / longest).otherwise(1.0),
-        "lcs_core": f["lcs_similarity"](*core),
-        "compact_ratio": f["ratio"](names.compact(core[0]), names.compact(core[1])),
-        "dict_name_ratio": f["token_sort_ratio"](full[0], mapped),
-        "k_ratio": F.when(filled(key), f["ratio"](*key)).otherwise(-1.0),
+        "k_ratio": F.when(filled(key), got("k_ratio")).otherwise(-1.0),
     }
-    if "a_name_a" in pairs.columns:
-        out |= {"dba_max": parts("name"), "aka_max": parts("name_aka")}
-    return pairs.withColumns(out)
+    for p, name in (("name", "dba_max"), ("name_aka", "aka_max")):
+        if p in halves:
+            some = (F.col(f"a_{p}_a") != "") | (F.col(f"b_{p}_a") != "")
+            out[name] = F.when(some, F.greatest(got(f"{p}_a"), got(f"{p}_b")))
+    return made.withColumns(out).drop("__m")
 
 
 def frequency(pairs: DataFrame, records: DataFrame, field: str, side: str, out: str) -> DataFrame:
@@ -182,7 +194,6 @@ def stack_features(scored: DataFrame, records: DataFrame, least: float = 0.05) -
     Competition counts use all rows; similarities are to the S1's first candidate and to its other confident ones.
     """
     ship(scored.sparkSession)
-    ts, st = similarity.pairwise(similarity.token_sort_ratio), similarity.pairwise(similarity.token_set_ratio)
     c = W.partitionBy("cand_id")
     over, strong = F.col("prob") > 0.05, F.col("prob") > 0.3
     by = c.orderBy(F.when(over, F.col("prob")).desc_nulls_last(), "s1_id")
@@ -204,7 +215,8 @@ def stack_features(scored: DataFrame, records: DataFrame, least: float = 0.05) -
     def alike(p: str, q: str) -> list[Column]:
         a, b = (lambda f: F.col(f"{p}{f}")), (lambda f: F.col(f"{q}{f}"))
         house = ternary((a("house_no") == "") | (b("house_no") == ""), a("house_no") == b("house_no"))
-        return [ts(a("name_full"), b("name_full")), st(a("addr_norm"), b("addr_norm")), house.cast("double"), jaccard(a("num_tokens"), b("num_tokens"), F.lit(0.0))]
+        m = similarity.measures({"n": (similarity.token_sort_ratio, a("name_full"), b("name_full")), "a": (similarity.token_set_ratio, a("addr_norm"), b("addr_norm"))})
+        return [m["n"], m["a"], house.cast("double"), jaccard(a("num_tokens"), b("num_tokens"), F.lit(0.0))]
 
     top = rows.join(of("x_", "cand_id"), "cand_id").join(of("t_", "__t"), "__t")
     name, addr, house, nums = alike("x_", "t_")
@@ -216,3 +228,49 @@ def stack_features(scored: DataFrame, records: DataFrame, least: float = 0.05) -
     near = near.withColumns({"n_other": n, "a_other": a, "h_other": h, "j_other": j}).groupBy("s1_id", "cand_id").agg(*[g(f"{p}_other").alias(f"{p}_other_{k}") for p in "nahj" for k, g in (("mean", F.avg), ("max", F.max))])
     out = top.join(near, ["s1_id", "cand_id"], "left").fillna(0.0, [f"{p}_other_{k}" for p in "nahj" for k in ("mean", "max")])
     return out.drop("__t", *[c for c in out.columns if c[:2] in ("x_", "t_")])
+
+
+#: Inputs of the pair classifier, in order.
+MODEL = [
+    "emb_rank",
+    *("name_token_sort", "name_token_set", "core_ratio", "core_partial", "skel_ratio", "name_jaccard", "legal_match", "dba_max", "aka_max", "len_diff"),
+    *("addr_token_set", "house_match", "house_cand_match", "num_jaccard", "rare_tok_overlap", "zip_match", "state_match", "addr_missing_any"),
+    *("cand_source", "ch_emb", "ch_addr", "ch_skel", "ch_rare", "ch_rev", "ch_rerank", "ch_keyx", "ch_comb", "ch_tfidf", "tfidf_rank", "ch_revtf", "revtf_rank", "ch_dict"),
+    *("name_freq_s1", "name_freq_cand", "dict_name_ratio", "jw_core", "lev_core", "lcs_core", "compact_ratio", "initials_match", "first_tok_match", "longnum_match"),
+    *(f"{s}_{k}" for s in ("emb_score", "comb_cos", "tfidf_score", "support") for k in ("rel", "z", "rk")),
+    *("a_freq_s1", "a_freq_cand", "k_freq_s1", "k_freq_cand", "k_eq", "k_ratio", "legal_conflict", "n_channels", "gap_to_best", "n_cands", "reverse_rank"),
+]
+
+
+def side_frequencies(pairs: DataFrame, records: DataFrame) -> DataFrame:
+    """How common both sides' names are among all records, and their addresses and street keys on their own side."""
+    s1, pool = records.where("source = 1"), records.where("source > 1")
+    for field, out, own in (("core_name", "name_freq", False), ("addr_norm", "a_freq", True), ("street_key", "k_freq", True)):
+        pairs = frequency(pairs, s1 if own else records, field, "a", f"{out}_s1")
+        pairs = frequency(pairs, pool if own else records, field, "b", f"{out}_cand")
+    return pairs
+
+
+def complete(table: DataFrame, records: DataFrame, ranked: DataFrame, vecs: DataFrame, flags: list[str], dictionary: Column | None = None) -> DataFrame:
+    """All ``MODEL`` features and ``rule_score`` of a candidate table with every channel.
+
+    ``records`` hold ``FIELDS``, ``ranked`` the rarest address tokens, ``vecs`` (id, v) the names' vectors. Features of a
+    whole list (ranks, gaps, support) are computed before the pairs meet their records.
+    """
+    made = reverse_rank(context(channel_features(support(table, vecs), flags)))
+    for score in ("emb_score", "comb_cos", "tfidf_score", "support"):
+        made = relative(made, score)
+    made = rare_overlap(made.drop("country"), ranked)
+    made = flag_features(set_features(with_records(made, records)))
+    made = fuzzy_features(side_frequencies(made, records), dictionary)
+    best = F.greatest("name_token_sort", "core_ratio")
+    return made.withColumn("rule_score", rule_score(best, F.col("addr_token_set"), F.col("house_match"))).select("s1_id", "cand_id", "emb_score", "rule_score", F.col("a_country").alias("country"), *MODEL)
+
+
+def with_external(pairs: DataFrame, scores: DataFrame, name: str = "ce_prob") -> DataFrame:
+    """A further score of another model's file (s1_id, cand_id, name); -1 for pairs that it lacks."""
+    return pairs.join(scores.select("s1_id", "cand_id", name), ["s1_id", "cand_id"], "left").fillna(-1.0, [name])
+
+
+#: Inputs of the second stage.
+STACK = ["prob", "rank", "is_top1", "prob_T", "gap_to_T", "num_gt_05", "name_sim_T", "addr_sim_T", "house_match_T", "num_jaccard_T", "same_src_T", *(f"{p}_other_{k}" for p in "nahj" for k in ("mean", "max")), "best_competing_prob", "prob_minus_comp", "other_gt_03"]

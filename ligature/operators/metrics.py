@@ -110,6 +110,95 @@ def folds(ids: DataFrame, key: str, parts: int = 5, held: int = 0) -> DataFrame:
     return ids.select(key, F.when((number * 7919 + 13) % parts == held, "val").otherwise("train").alias("fold"))
 
 
+def _number(key: str):
+    return F.regexp_extract(F.col(key).cast("string"), "([0-9]+)$", 1).cast("long")
+
+
+def stratified(s1: DataFrame, n: int) -> DataFrame:
+    """About ``n`` S1 (s1_id, country), each country by its share and one at least, in the order of a hash."""
+    shares = s1.groupBy("country").agg(F.count(F.lit(1)).alias("c"))
+    total = shares.agg(F.sum("c").alias("all"))
+    quota = shares.join(F.broadcast(total)).select("country", F.greatest(F.lit(1), F.round(F.lit(n) * F.col("c") / F.col("all"))).cast("long").alias("quota"))
+    w = W.partitionBy("country").orderBy(_number("s1_id") * 7919 % 10007, "s1_id")
+    return s1.withColumn("rn", F.row_number().over(w)).join(quota, "country").where("rn <= quota").select("s1_id", "country")
+
+
+def staged_recall(cands: DataFrame, gold: DataFrame, stages: int = 5) -> DataFrame:
+    """(stage, country, cand_source, n_gold, n_hit, recall): recall of the pairs added up to each stage, by country and
+    source with all subtotals."""
+    hit = gold.join(cands.select("s1_id", "cand_id", "added_by"), ["s1_id", "cand_id"], "left")
+    sums = [F.count(F.when(F.col("added_by") <= i, 1)).alias(f"h{i}") for i in range(stages)]
+    per = hit.cube("country", "cand_source").agg(F.count(F.lit(1)).alias("n_gold"), *sums)
+    long = per.select(F.coalesce("country", F.lit("all")).alias("country"), F.coalesce(F.col("cand_source").cast("string"), F.lit("all")).alias("cand_source"), "n_gold", F.explode(F.array(*[F.struct(F.lit(i).alias("stage"), F.col(f"h{i}").alias("n_hit")) for i in range(stages)])).alias("x"))
+    return long.select("x.stage", "country", "cand_source", "n_gold", "x.n_hit", F.round(F.col("x.n_hit") / F.col("n_gold"), 6).alias("recall"))
+
+
+def slice_details(scored: DataFrame, pred: DataFrame, gold: DataFrame, s1: DataFrame) -> DataFrame:
+    """(slice, n, value): accuracy of the best row for S1 with one match, wrong extras for those with three or more,
+    and precision and recall by country and by source."""
+    w = W.partitionBy("s1_id").orderBy(F.desc("prob"), F.desc("emb_score"), "cand_id")
+    g = gold.select("s1_id", "cand_id", F.lit(1).alias("g"))
+    n_gold = gold.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n"))
+    top = scored.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("s1_id", "cand_id").join(g, ["s1_id", "cand_id"], "left")
+    one = n_gold.where("n = 1").join(top, "s1_id", "left").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.coalesce("g", F.lit(0))), 6).alias("value")).select(F.lit("top1 of one match").alias("slice"), "n", "value")
+    extras = pred.select("s1_id", "cand_id").join(n_gold.where("n >= 3"), "s1_id").join(g, ["s1_id", "cand_id"], "left")
+    wrong = extras.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.when(F.col("g").isNull(), 1).otherwise(0)), 6).alias("value")).select(F.lit("wrong of three or more").alias("slice"), "n", "value")
+    key = ["s1_id", "cand_id"]
+    both = pred.select(*key, F.lit(1).alias("p")).join(g, key, "full").fillna(0, ["p", "g"]).join(s1.select("s1_id", "country"), "s1_id").withColumn("source", F.concat(F.lit("S"), F.substring("cand_id", 2, 1)))
+    out = one.unionByName(wrong)
+    for by in ("country", "source"):
+        sums = both.groupBy(by).agg(F.sum("p").alias("np"), F.sum("g").alias("ng"), F.sum(F.col("p") * F.col("g")).alias("tp"))
+        for kind, n in (("precision", "np"), ("recall", "ng")):
+            out = out.unionByName(sums.select(F.concat(F.lit(f"{kind} "), F.col(by)).alias("slice"), F.col(n).alias("n"), F.when(F.col(n) > 0, F.round(F.col("tp") / F.col(n), 6)).alias("value")))
+    return out
+
+
+def miss_analysis(cands: DataFrame, gold: DataFrame, records: DataFrame, keys: dict[str, DataFrame], nth: int = 20) -> DataFrame:
+    """Gold pairs that are no candidates: which keys both sides share, Jaccard similarities of their names and addresses,
+    and the score of the S1's ``nth`` best candidate (null if it has fewer)."""
+    out = miss_report(cands, gold, keys)
+    w = W.partitionBy("s1_id").orderBy(F.desc("emb_score"), "cand_id")
+    last = cands.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == nth).select("s1_id", F.col("emb_score").alias("nth_score"))
+    r = records.select("entity_id", F.split("name_full", " ").alias("n"), "addr_tokens")
+    both = out.join(r.toDF("s1_id", "na", "aa"), "s1_id").join(r.toDF("cand_id", "nb", "ab"), "cand_id").join(last, "s1_id", "left")
+    share = lambda a, b: F.round(F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)), 6)
+    return both.select("s1_id", "cand_id", *keys, share("na", "nb").alias("name_jaccard"), share("aa", "ab").alias("addr_jaccard"), "nth_score")
+
+
+def misses_sample(misses: DataFrame, n: int = 50) -> DataFrame:
+    """``n`` misses for a look, in the order of a hash."""
+    return misses.orderBy(_number("s1_id") * 7919 % 10007, "s1_id", "cand_id").limit(n)
+
+
+def key_coverage(records: DataFrame, keys: dict[str, DataFrame]) -> DataFrame:
+    """(country, key, share): the share of a country's records that have a key of each kind."""
+    out = None
+    total = records.groupBy("country").agg(F.count(F.lit(1)).alias("n"))
+    for name, k in keys.items():
+        have = records.select("entity_id", "country").join(k.select("entity_id").distinct(), "entity_id", "left_semi").groupBy("country").agg(F.count(F.lit(1)).alias("h"))
+        part = total.join(have, "country", "left").select("country", F.lit(name).alias("key"), F.round(F.coalesce("h", F.lit(0)) / F.col("n"), 6).alias("share"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def quartiles(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
+    """(by, feature, p25, p50, p75) of numeric columns, nulls left out."""
+    long = df.select(by, F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in columns])).alias("f")).select(by, "f.*")
+    return long.groupBy(by, "feature").agg(*[F.expr(f"round(percentile(x, {p / 100}), 6)").alias(f"p{p}") for p in (25, 50, 75)])
+
+
+def gold_facts(records: DataFrame, gold: DataFrame) -> DataFrame:
+    """(fact, n): S1 by their number of matches, candidates with several S1, pairs across countries, and pool records
+    without a match."""
+    s1 = records.where("source = 1").select(F.col("entity_id").alias("s1_id")).join(gold.groupBy("s1_id").agg(F.count(F.lit(1)).alias("m")), "s1_id", "left").fillna(0, ["m"])
+    hist = s1.groupBy("m").agg(F.count(F.lit(1)).alias("n")).select(F.concat(F.lit("matches "), F.col("m").cast("string")).alias("fact"), "n")
+    several = gold.groupBy("cand_id").agg(F.count(F.lit(1)).alias("c")).agg(F.count(F.when(F.col("c") > 1, 1)).alias("n")).select(F.lit("several s1").alias("fact"), "n")
+    where = records.select("entity_id", "country")
+    across = gold.select("s1_id", "cand_id").join(where.toDF("s1_id", "a"), "s1_id").join(where.toDF("cand_id", "b"), "cand_id").agg(F.count(F.when(F.col("a") != F.col("b"), 1)).alias("n")).select(F.lit("across countries").alias("fact"), "n")
+    rest = records.where("source > 1").join(gold.select(F.col("cand_id").alias("entity_id")), "entity_id", "left_anti").agg(F.count(F.lit(1)).alias("n")).select(F.lit("distractors").alias("fact"), "n")
+    return hist.unionByName(several).unionByName(across).unionByName(rest)
+
+
 def with_distractors(records: DataFrame, s1: DataFrame, gold: DataFrame, ratio: int = 5) -> DataFrame:
     """Sampled S1, their matches, and ``ratio`` other pool records of the country per S1, in the order of a hash."""
     own = records.join(s1.select(F.col("s1_id").alias("entity_id")), "entity_id", "left_semi").withColumn("role", F.lit("s1"))
@@ -117,7 +206,12 @@ def with_distractors(records: DataFrame, s1: DataFrame, gold: DataFrame, ratio:
     hits = records.join(matched, "entity_id", "left_semi").withColumn("role", F.lit("match"))
     quota = own.groupBy("country").agg((F.count(F.lit(1)) * ratio).alias("quota"))
     rest = records.where("source > 1").join(matched, "entity_id", "left_anti")
-    number = F.regexp_extract("entity_id", "([0-9]+)$", 1).cast("long")
-    w = W.partitionBy("country").orderBy(number * 7919 % 10007, "entity_id")
-    few = rest.withColumn("rn", F.row_number().over(w)).join(quota, "country").where("rn <= quota").drop("rn", "quota").withColumn("role", F.lit("distractor"))
+    # a country's first rows by the hash: counts per hash value tell up to which one rows are needed at all
+    rest = rest.withColumn("__h", _number("entity_id") * 7919 % 10007)
+    counts = rest.groupBy("country", "__h").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(W.partitionBy("country").orderBy("__h").rowsBetween(W.unboundedPreceding, -1))
+    edge = counts.withColumn("b", F.coalesce(before, F.lit(0))).join(quota, "country").where("b < quota").groupBy("country", "quota").agg(F.max("__h").alias("edge"))
+    near = rest.join(edge, "country").where("__h <= edge")
+    w = W.partitionBy("country").orderBy("__h", "entity_id")
+    few = near.withColumn("rn", F.row_number().over(w)).where("rn <= quota").drop("rn", "quota", "edge", "__h").withColumn("role", F.lit("distractor"))
     return own.unionByName(hits).unionByName(few.select(*own.columns))

@@ -1,12 +1,22 @@
-"""Character n-gram tf-idf over postings (id, term, weight), and its top-k join by an inverted index."""
+"""Character n-gram tf-idf over postings (id, term, weight), and its top-k join by tiles of documents."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import ship
+from . import tiles
+
 VOCABULARY = 300_000
+#: Documents of a tile on average, and common terms that are multiplied at a time.
+TILE = 512
+COLUMNS = 4096
 
 
 def char_wb(text: Column, n: int = 3) -> Column:
@@ -21,27 +31,62 @@ def term_counts(docs: DataFrame, block: str = "country") -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, docs: DataFrame, limit: int = VOCABULARY, block: str = "country") -> DataFrame:
-    """(block, term, total, df, idf): the ``limit`` most frequent terms of a block with ln((1 + n) / (1 + df)) + 1."""
+    """(block, term, t, total, df, idf): the ``limit`` most frequent terms of a block, numbered from 1, with
+    ln((1 + n) / (1 + df)) + 1."""
     n = docs.groupBy(block).agg(F.count(F.lit(1)).alias("n"))
     terms = counts.groupBy(block, "term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-    kept = terms.withColumn("rn", F.row_number().over(W.partitionBy(block).orderBy(F.desc("total"), "term"))).where(F.col("rn") <= limit)
-    return kept.join(n, block).select(block, "term", "total", "df", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    kept = terms.withColumn("t", F.row_number().over(W.partitionBy(block).orderBy(F.desc("total"), "term"))).where(F.col("t") <= limit)
+    return kept.join(n, block).select(block, "term", "t", "total", "df", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
 def weights(counts: DataFrame, vocab: DataFrame, block: str = "country") -> DataFrame:
-    """(block, id, term, w): (1 + ln tf) * idf, of unit length per document."""
-    raw = counts.join(vocab.select(block, "term", "idf"), [block, "term"]).withColumn("w", (1 + F.log("tf")) * F.col("idf"))
+    """(block, id, term, t, w): (1 + ln tf) * idf, of unit length per document."""
+    raw = counts.join(vocab.select(block, "term", "t", "idf"), [block, "term"]).withColumn("w", (1 + F.log("tf")) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(block, "id")))
-    return raw.select(block, "id", "term", (F.col("w") / norm).alias("w"))
+    return raw.select(block, "id", "term", "t", (F.col("w") / norm).alias("w"))
 
 
 def topk(queries: DataFrame, pool: DataFrame, k: int = 10, block: str = "country") -> DataFrame:
-    """(q, p, score, rank): the ``k`` pool documents with the largest positive product for each query's postings.
+    """(block, q, p, score, rank): the ``k`` pool documents of the block with the largest positive product for each
+    query, from postings (block, id, t, w).
 
-    Products are summed before the shuffle by pair; common terms are the hot keys that adaptive execution splits.
+    Documents are dealt into tiles; a tile of queries meets a tile of the pool as two matrices over their common terms,
+    and keeps its best candidates per query. So a common term costs a column of a matrix, not a join of its postings.
     """
-    q = queries.select(block, "term", F.col("id").alias("q"), F.col("w").alias("qw"))
-    p = pool.select(block, "term", F.col("id").alias("p"), F.col("w").alias("pw"))
-    scores = q.join(p, [block, "term"]).groupBy("q", "p").agg(F.sum(F.col("qw") * F.col("pw")).alias("score")).where("score > 0")
-    w = W.partitionBy("q").orderBy(F.round("score", 9).desc(), "p")
-    return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    ship(queries.sparkSession)
+    docs = lambda df: df.groupBy(block, "id").agg(F.collect_list(F.struct("t", "w")).alias("v"))
+    pairs = tiles.met(docs(queries), docs(pool), block, TILE)
+    kind, of_block = (queries.schema[c].dataType.simpleString() for c in ("id", block))
+
+    def matrix(tile: pa.ListScalar) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        rows = tile.values
+        v = rows.field("v")
+        lengths = np.diff(v.offsets.to_numpy())
+        flat = v.flatten()
+        return rows.field("id"), np.repeat(np.arange(len(rows)), lengths), flat.field("t").to_numpy(), flat.field("w").to_numpy()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b, q, p in zip(*(batch.column(i) for i in range(3)), strict=True):
+                (qi, qr, qt, qw), (pi, pr, pt, pw) = matrix(q), matrix(p)
+                scores = np.zeros((len(qi), len(pi)))
+                common = np.intersect1d(qt, pt)
+                for at in range(0, len(common), COLUMNS):
+                    part = common[at : at + COLUMNS]
+                    made = []
+                    for rows, terms, values, n in ((qr, qt, qw, len(qi)), (pr, pt, pw, len(pi))):
+                        place = np.searchsorted(part, terms)
+                        place[place == len(part)] = 0
+                        hit = part[place] == terms
+                        m = np.zeros((n, len(part)))
+                        m[rows[hit], place[hit]] = values[hit]
+                        made.append(m)
+                    scores += made[0] @ made[1].T
+                scores = np.round(scores, 12)
+                edge = -np.partition(-scores, min(k, len(pi)) - 1, axis=1)[:, min(k, len(pi)) - 1 : min(k, len(pi))]
+                at = np.nonzero((scores > 0) & (np.round(scores, 9) >= np.round(edge, 9)))  # with all ties at the edge
+                yield pa.RecordBatch.from_arrays([pa.array([b.as_py()] * len(at[0]), batch.schema.field(0).type), qi.take(pa.array(at[0])), pi.take(pa.array(at[1])), pa.array(scores[at])], [block, "q", "p", "score"])
+
+    found = pairs.mapInArrow(work, f"{block} {of_block}, q {kind}, p {kind}, score double")
+    w = W.partitionBy(block, "q").orderBy(F.round("score", 9).desc(), "p")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -12,18 +12,12 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..session import ship
+from . import tiles
 
 #: Vectors of a tile on average. A pair of tiles is one row: memory does not grow with a block.
 TILE = 1024
 
 
-def _tiles(df: DataFrame, block: str, name: str) -> DataFrame:
-    """Vectors (id, v) of a block in tiles of about ``TILE``, dealt by a hash of the id."""
-    counts = df.groupBy(block).agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE)).alias("__k"))
-    dealt = df.join(counts, block).withColumn("__tile", F.pmod(F.xxhash64("id"), F.col("__k")))
-    return dealt.groupBy(block, "__tile").agg(F.collect_list(F.struct("id", "v")).alias(name)).drop("__tile")
-
-
 def dense_topk(queries: DataFrame, pool: DataFrame, k: int, block: str = "country") -> DataFrame:
     """(q, p, score, rank): the ``k`` pool vectors with the largest dot product for each query of (id, v, block).
 
@@ -31,7 +25,7 @@ def dense_topk(queries: DataFrame, pool: DataFrame, k: int, block: str = "countr
     the pool in numpy; each pair of tiles keeps its best candidates per query before anything is shuffled.
     """
     ship(queries.sparkSession)
-    pairs = _tiles(queries, block, "qs").join(_tiles(pool, block, "ps"), block).select("qs", "ps")
+    pairs = tiles.met(queries.select(block, "id", "v"), pool.select(block, "id", "v"), block, TILE).drop(block)
     kind = queries.schema["id"].dataType.simpleString()
 
     def matrix(tile: pa.ListScalar) -> tuple[pa.Array, np.ndarray]:
@@ -64,9 +58,12 @@ def pair_scores(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFram
     return both.groupBy(*pairs.columns).agg(F.max("score").alias("score"))
 
 
-def wide_rerank(wide: DataFrame, tokens: DataFrame, present: DataFrame, n: int = 10) -> DataFrame:
+def wide_rerank(wide: DataFrame, tokens: DataFrame, present: DataFrame, n: int = 10, keep_unshared: bool = False) -> DataFrame:
     """(q, p, f_score): of wide top-k pairs (q, p, score) not yet present, the ``n`` best by the summed idf of shared
-    tokens (id, source, country, token); ties by score, then id. idf = ln(1 + (N + 1) / (df + 1)) over all records."""
+    tokens (id, source, country, token); ties by score, then id. idf = ln(1 + (N + 1) / (df + 1)) over all records.
+
+    Pairs without a shared token are left out, or with ``keep_unshared`` come last with 0.
+    """
     total = tokens.select("id", "country").distinct().groupBy("country").agg(F.count(F.lit(1)).alias("n"))
     df = tokens.groupBy("country", "token").agg(F.count(F.lit(1)).alias("df")).join(total, "country").select("country", "token", F.log(1 + (F.col("n") + 1) / (F.col("df") + 1)).alias("idf"))
     weighed = tokens.join(df, ["country", "token"]).select("id", "token", "idf")
@@ -74,6 +71,6 @@ def wide_rerank(wide: DataFrame, tokens: DataFrame, present: DataFrame, n: int =
     p = weighed.select(F.col("id").alias("p"), "token")
     new = wide.join(present, ["q", "p"], "left_anti")
     shared = new.join(q, "q").join(p, ["p", "token"]).groupBy("q", "p").agg(F.sum("idf").alias("f_score"))
-    scored = new.join(shared, ["q", "p"]).withColumn("f_score", F.round("f_score", 6))
+    scored = new.join(shared, ["q", "p"], "left" if keep_unshared else "inner").withColumn("f_score", F.coalesce(F.round("f_score", 6), F.lit(0.0)))
     w = W.partitionBy("q").orderBy(F.desc("f_score"), F.round("score", 9).desc(), "p")
     return scored.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n).select("q", "p", "f_score")

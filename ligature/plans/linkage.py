@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import blocking, candidates, decide, features, models
+from ..session import stage
 from ..sources import records
 from . import sql as S
 from . import tables as T
@@ -20,7 +21,7 @@ def _int(*cols: str):
 
 @query(f"SELECT s1_id, cand_id, cand_source, {_FLAGS}, emb_score FROM scored0")
 def channel_union(spark, d):
-    return T.united(T.normalized(spark, d)).select("s1_id", "cand_id", "cand_source", *T.FLAGS, "emb_score")
+    return T.uniting(stage(T.normalizing(spark, d), "normalized")).select("s1_id", "cand_id", "cand_source", *T.FLAGS, "emb_score")
 
 
 @query(f"SELECT s1_id, cand_id, cand_source, {_FLAGS}, emb_score FROM cand")
@@ -83,30 +84,28 @@ def pair_features_sets(spark, d):
 
 
 @query("""SELECT c.s1_id, c.cand_id, CASE WHEN a.legal = '' OR b.legal = '' THEN -1 WHEN a.legal = b.legal THEN 1 ELSE 0 END AS legal_match,
-    CASE WHEN a.house_no = '' OR b.house_no = '' THEN -1 WHEN a.house_no = b.house_no THEN 1 ELSE 0 END AS house_match, CASE WHEN len(a.house_cands) = 0 OR len(b.house_cands) = 0 THEN -1 WHEN list_has_any(a.house_cands, b.house_cands) THEN 1 ELSE 0 END AS house_cand_match,
+    CASE WHEN a.house_no = '' OR b.house_no = '' THEN -1 WHEN a.house_no = b.house_no THEN 1 ELSE 0 END AS house_match, CASE WHEN a.zip_pin = '' OR b.zip_pin = '' THEN -1 WHEN a.zip_pin = b.zip_pin THEN 1 ELSE 0 END AS zip_match, CASE WHEN len(a.house_cands) = 0 OR len(b.house_cands) = 0 THEN -1 WHEN list_has_any(a.house_cands, b.house_cands) THEN 1 ELSE 0 END AS house_cand_match,
     CASE WHEN string_split(a.core_name, ' ')[1] = string_split(b.core_name, ' ')[1] AND a.core_name <> '' THEN 1 ELSE 0 END AS first_tok_match, CASE WHEN a.addr_norm = '' OR b.addr_norm = '' THEN 1 ELSE 0 END AS addr_missing_any
     FROM cand c JOIN norm a ON a.entity_id = c.s1_id JOIN norm b ON b.entity_id = c.cand_id""")
 def pair_features_flags(spark, d):
     norm = T.normalized(spark, d)
-    full = T.slim(norm).withColumns({"legal2": F.col("legal"), "street_key": F.col("addr_norm"), "state_code": F.lit("")})
-    made = features.flag_features(features.with_records(T.candidate_table(norm), full))
-    return made.select("s1_id", "cand_id", "legal_match", "house_match", "house_cand_match", "first_tok_match", "addr_missing_any")
+    made = features.flag_features(features.with_records(T.candidate_table(norm), T.full_records(norm)))
+    return made.select("s1_id", "cand_id", "legal_match", "house_match", "zip_match", "house_cand_match", "first_tok_match", "addr_missing_any")
 
 
 @query("""SELECT c.s1_id, c.cand_id, round(jaro_winkler_similarity(a.core_name, b.core_name), 6) AS jw_core, round(1 - levenshtein(a.core_name, b.core_name) / greatest(length(a.core_name), length(b.core_name)), 6) AS lev_core
     FROM cand c JOIN norm a ON a.entity_id = c.s1_id JOIN norm b ON b.entity_id = c.cand_id""")
 def pair_features_fuzzy(spark, d):
     norm = T.normalized(spark, d)
-    full = T.slim(norm).withColumn("street_key", F.col("addr_norm"))
-    made = features.fuzzy_features(features.with_records(T.candidate_table(norm), full))
+    made = features.fuzzy_features(features.with_records(T.candidate_table(norm), T.full_records(norm)))
     return made.select("s1_id", "cand_id", T.rounded(F.col("jw_core")).alias("jw_core"), T.rounded(F.col("lev_core")).alias("lev_core"))
 
 
 @query()
 def pair_features_ratios(spark, d):
+    """Ratios of all pairs; string_ratios and the tests hold them against other computations."""
     norm = T.normalized(spark, d)
-    full = T.slim(norm).withColumn("street_key", F.col("addr_norm"))
-    made = features.fuzzy_features(features.with_records(T.candidate_table(norm), full))
+    made = features.fuzzy_features(features.with_records(T.candidate_table(norm), T.full_records(norm)))
     cols = ["name_token_sort", "name_token_set", "core_ratio", "core_partial", "skel_ratio", "addr_token_set", "lcs_core", "compact_ratio", "dict_name_ratio", "k_ratio"]
     return made.select("s1_id", "cand_id", *[T.rounded(F.col(c)).alias(c) for c in cols])
 
@@ -160,8 +159,8 @@ def support(spark, d):
 
 @query("SELECT s1.s1_id, coalesce(k.ids, '') AS matched_ids FROM s1 LEFT JOIN (SELECT s1_id, string_agg(cand_id, ',' ORDER BY cand_id) AS ids FROM kept GROUP BY s1_id) k ON k.s1_id = s1.s1_id")
 def rule_resolve(spark, d):
-    """From records to matches: normalise, block, unite, cap, score by rule, decide."""
-    norm = T.normalized(spark, d)
+    """From records to matches: normalise, block, unite, cap, score by rule, decide; nothing is reused."""
+    norm = stage(T.normalizing(spark, d), "normalized")
     return decide.decide(T.scored(norm), T.s1_of(norm))
 
 
@@ -206,66 +205,25 @@ def decide_margin(spark, d):
     return decide.decide(T.scored(norm), T.s1_of(norm), 0.4, 0.6, 0.05)
 
 
-_GRID = "(SELECT a.x AS t_top1, b.x AS t_extra FROM (SELECT unnest([0.3, 0.5, 0.7]) AS x) a, (SELECT unnest([0.5, 0.7, 0.9]) AS x) b WHERE b.x >= a.x)"
-
-
-@query(f"""SELECT CAST(0 AS DOUBLE) AS margin, CAST(t_top1 AS DOUBLE) AS t_top1, CAST(t_extra AS DOUBLE) AS t_extra, round(avg(f), 6) AS f05 FROM (SELECT t.t_top1, t.t_extra, s1_id, CASE WHEN n_pred = 0 AND n_gold = 0 THEN 1.0 WHEN n_pred = 0 OR n_gold = 0 OR tp = 0 THEN 0.0 ELSE 1.25 * (tp / n_pred) * (tp / n_gold) / (0.25 * (tp / n_pred) + tp / n_gold) END AS f FROM
-    (SELECT g.t_top1, g.t_extra, s.s1_id, any_value(s.n_gold) AS n_gold, count(e.cand_id) AS n_pred, coalesce(sum(e.hit), 0) AS tp FROM {_GRID} g CROSS JOIN (SELECT s1.s1_id, count(gold.cand_id) AS n_gold FROM s1 LEFT JOIN gold ON gold.s1_id = s1.s1_id GROUP BY s1.s1_id) s
-      LEFT JOIN (SELECT x.*, CASE WHEN gg.s1_id IS NULL THEN 0 ELSE 1 END AS hit, row_number() OVER (PARTITION BY x.s1_id ORDER BY prob DESC, emb_score DESC, x.cand_id) AS rn, max(prob) OVER (PARTITION BY x.s1_id) AS top FROM excl x LEFT JOIN gold gg ON gg.s1_id = x.s1_id AND gg.cand_id = x.cand_id) e
-      ON e.s1_id = s.s1_id AND e.top >= g.t_top1 AND (e.rn = 1 OR e.prob >= g.t_extra) GROUP BY g.t_top1, g.t_extra, s.s1_id) t) GROUP BY t_top1, t_extra""")
-def grid_search(spark, d):
-    norm = T.normalized(spark, d)
-    return decide.grid_search(T.scored(norm), T.gold(norm), T.s1_of(norm), [0.3, 0.5, 0.7], [0.5, 0.7, 0.9], [0.0])
-
-
-@query("""SELECT s1_id, cand_id, rank, best_competing_prob, other_gt_03, num_gt_05, round(prob_T - prob, 6) AS gap_to_T FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY prob DESC, emb_score DESC, cand_id) - 1 AS rank, max(prob) OVER (PARTITION BY s1_id) AS prob_T, count(CASE WHEN prob > 0.5 THEN 1 END) OVER (PARTITION BY s1_id) AS num_gt_05 FROM
+_STACKED = """SELECT *, row_number() OVER w - 1 AS rank, max(prob) OVER (PARTITION BY s1_id) AS prob_T, first(cand_id) OVER w AS t, count(CASE WHEN prob > 0.5 THEN 1 END) OVER (PARTITION BY s1_id) AS num_gt_05 FROM
     (SELECT *, coalesce(CASE WHEN crn = 1 AND prob > 0.05 THEN nxt ELSE top END, 0) AS best_competing_prob, n03 - CASE WHEN prob > 0.3 THEN 1 ELSE 0 END AS other_gt_03 FROM
       (SELECT *, row_number() OVER w AS crn, lead(CASE WHEN prob > 0.05 THEN prob END) OVER w AS nxt, max(CASE WHEN prob > 0.05 THEN prob END) OVER (PARTITION BY cand_id) AS top, count(CASE WHEN prob > 0.3 THEN 1 END) OVER (PARTITION BY cand_id) AS n03 FROM prob
-        WINDOW w AS (PARTITION BY cand_id ORDER BY CASE WHEN prob > 0.05 THEN prob END DESC NULLS LAST, s1_id))) WHERE prob >= 0.05)""")
-def stack_features(spark, d):
-    norm = T.normalized(spark, d)
-    made = features.stack_features(T.scored(norm), norm)
-    return made.select("s1_id", "cand_id", "rank", "best_competing_prob", "other_gt_03", "num_gt_05", T.rounded(F.col("gap_to_T")).alias("gap_to_T"))
-
+        WINDOW w AS (PARTITION BY cand_id ORDER BY CASE WHEN prob > 0.05 THEN prob END DESC NULLS LAST, s1_id))) WHERE prob >= 0.05 WINDOW w AS (PARTITION BY s1_id ORDER BY prob DESC, emb_score DESC, cand_id)"""
+_HOUSE = "CASE WHEN {a}.house_no = '' OR {b}.house_no = '' THEN -1 WHEN {a}.house_no = {b}.house_no THEN 1 ELSE 0 END"
+_NUMS = "CASE WHEN len(list_distinct(list_concat({a}.num_tokens, {b}.num_tokens))) > 0 THEN len(list_intersect({a}.num_tokens, {b}.num_tokens)) / len(list_distinct(list_concat({a}.num_tokens, {b}.num_tokens))) ELSE 0 END"
+_STACK = ["rank", "is_top1", "prob_T", "gap_to_T", "num_gt_05", "house_match_T", "num_jaccard_T", "same_src_T", "h_other_mean", "h_other_max", "j_other_mean", "j_other_max", "best_competing_prob", "prob_minus_comp", "other_gt_03"]
 
-MODEL = ["name_jaccard", "num_jaccard", "addr_jaccard", "len_diff", "house_match", "emb_score", "ch_addr", "ch_skel", "ch_rare"]
 
-
-def _labelled(spark, d):
+@query(f"""SELECT r.s1_id, r.cand_id, r.rank, CASE WHEN r.rank = 0 THEN 1 ELSE 0 END AS is_top1, r.prob_T, round(r.prob_T - r.prob, 6) AS gap_to_T, r.num_gt_05, CASE WHEN r.rank = 0 THEN 0 ELSE {_HOUSE.format(a='x', b='y')} END AS house_match_T, round(CASE WHEN r.rank = 0 THEN 0 ELSE {_NUMS.format(a='x', b='y')} END, 6) AS num_jaccard_T,
+    CASE WHEN r.rank > 0 AND x.source = y.source THEN 1 ELSE 0 END AS same_src_T, coalesce(round(o.hm, 6), 0) AS h_other_mean, coalesce(o.hx, 0) AS h_other_max, coalesce(round(o.jm, 6), 0) AS j_other_mean, coalesce(round(o.jx, 6), 0) AS j_other_max, r.best_competing_prob, round(r.prob - r.best_competing_prob, 6) AS prob_minus_comp, r.other_gt_03
+    FROM ({_STACKED}) r JOIN norm x ON x.entity_id = r.cand_id JOIN norm y ON y.entity_id = r.t
+    LEFT JOIN (SELECT u.s1_id, u.cand_id, avg({_HOUSE.format(a='x', b='z')}) AS hm, max({_HOUSE.format(a='x', b='z')}) AS hx, avg({_NUMS.format(a='x', b='z')}) AS jm, max({_NUMS.format(a='x', b='z')}) AS jx FROM prob u JOIN prob v ON v.s1_id = u.s1_id AND v.cand_id <> u.cand_id AND v.prob > 0.5 AND u.prob >= 0.05 JOIN norm x ON x.entity_id = u.cand_id JOIN norm z ON z.entity_id = v.cand_id GROUP BY u.s1_id, u.cand_id) o ON o.s1_id = r.s1_id AND o.cand_id = r.cand_id""")
+def stack_features(spark, d):
+    """Second-stage features, but for the six ratios of names and addresses (see string_ratios)."""
     norm = T.normalized(spark, d)
-    number = F.expr("cast(substring(s1_id, 4) as bigint)")
-    return candidates.label(T.set_features(norm), T.gold(norm)).withColumn("part", number % 4).repartition("s1_id").sortWithinPartitions("s1_id", "cand_id")
-
-
-@query()
-def train_filter(spark, d):
-    """A small model on a quarter of the S1 scores all pairs; the best 15 of each S1 stay."""
-    rows = _labelled(spark, d)
-    model = models.train(rows.where("part = 0"), MODEL, rounds=5, depth=3)
-    return candidates.top_k(models.score(model, rows, MODEL, "score"), 15).select("s1_id", "cand_id", F.round("score", 4).alias("score"))
-
-
-@query()
-def train_matcher(spark, d):
-    """The pair classifier, with held-out S1 to stop early; held-out probabilities."""
-    rows = _labelled(spark, d).withColumn("held", (F.col("part") == 1).cast("int"))
-    model = models.train(rows.where("part < 3"), MODEL, rounds=8, depth=3)
-    return models.score(model, rows.where("part = 3"), MODEL).select("s1_id", "cand_id", "label", F.round("prob", 4).alias("prob"))
-
-
-@query()
-def cross_fit_stack(spark, d):
-    rows = _labelled(spark, d).withColumn("is_competitor", (F.col("part") == 3).cast("int"))
-    made = models.cross_fit(rows, MODEL[:5], F.col("part") % 2)
-    return made.select("s1_id", "cand_id", F.round("prob", 4).alias("prob"))
-
-
-@query()
-def cross_group_proxy(spark, d):
-    """Trained on one group of countries, scored on the others."""
-    rows = _labelled(spark, d)
-    here = F.col("country") < "M"
-    return models.score(models.train(rows.where(here), MODEL, rounds=5, depth=3), rows.where(~here), MODEL).select("s1_id", "cand_id", "label", F.round("prob", 4).alias("prob"))
+    made = features.stack_features(T.scored(norm), norm)
+    kinds = dict(made.dtypes)
+    return made.select("s1_id", "cand_id", *[T.rounded(F.col(c)).alias(c) if kinds[c] == "double" else F.col(c) for c in _STACK])
 
 
 _RULE = "SELECT p.*, prob * 100 AS rule_score, CASE WHEN g.s1_id IS NULL THEN 0 ELSE 1 END AS label FROM prob p LEFT JOIN gold g ON g.s1_id = p.s1_id AND g.cand_id = p.cand_id"

@@ -11,22 +11,23 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function's name, with the final SELECT of its SQL counterpart."""
+def query(sql: str | None = None, market: bool = False) -> Callable[[Query], Query]:
+    """Register a query under its function's name, with the final SELECT of its SQL counterpart; with ``market`` that
+    reads the records by larger countries."""
 
     def put(f: Query) -> Query:
         from .sql import statement
 
         QUERIES[f.__name__] = f
         if sql:
-            SQL[f.__name__] = statement(sql)
+            SQL[f.__name__] = statement(sql, market)
         return f
 
     return put
 
 
 def _load() -> None:
-    from . import linkage, reports, retrieval  # noqa: F401
+    from . import directory, linkage, reports, retrieval, stages, widened  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import blocking, decide, features, metrics
+from ..operators import blocking, candidates, decide, features, metrics
 from ..sources import records, sinks
 from . import sql as S
 from . import tables as T
@@ -92,11 +92,13 @@ def recall_at_k(spark, d):
     return metrics.recall_at(ranked, T.gold(norm), [5, 10, 20])
 
 
-@query("SELECT 'name_jaccard' AS feature, min(name_jaccard) AS least, max(name_jaccard) AS most, round(avg(name_jaccard), 6) AS mean FROM sets UNION ALL SELECT 'len_diff', min(len_diff), max(len_diff), round(avg(len_diff), 6) FROM sets")
+_STATS = ["name_jaccard", "num_jaccard", "addr_jaccard", "len_diff", "house_match", "emb_score"]
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(min({c}) AS DOUBLE) AS least, CAST(max({c}) AS DOUBLE) AS most, round(avg({c}), 6) AS mean, round(avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 6) AS missing, round(avg(CASE WHEN label = 1 THEN {c} END), 6) AS mean_pos, round(avg(CASE WHEN label = 0 THEN {c} END), 6) AS mean_neg FROM (SELECT s.*, CASE WHEN g.s1_id IS NULL THEN 0 ELSE 1 END AS label FROM sets s LEFT JOIN gold g ON g.s1_id = s.s1_id AND g.cand_id = s.cand_id)" for c in _STATS))
 def feature_statistics(spark, d):
     norm = T.normalized(spark, d)
-    rows = T.set_features(norm).withColumn("label", F.lit(1))
-    return features.statistics(rows, ["name_jaccard", "len_diff"], "label").select("feature", "least", "most", "mean")
+    return features.statistics(candidates.label(T.set_features(norm), T.gold(norm)), _STATS, "label")
 
 
 @query("SELECT entity_id, CASE WHEN (CAST(substr(entity_id, 4) AS BIGINT) * 7919 + 13) % 5 = 0 THEN 'val' ELSE 'train' END AS fold FROM rec WHERE source = 1")

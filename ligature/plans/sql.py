@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from ..functions import constants as K
+from ..functions.vectors import LETTERS
 
 _LIST = lambda xs: ", ".join(f"'{x}'" for x in xs)
 _MAP = lambda m: "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in m.items()) + "}"
@@ -32,6 +33,96 @@ def _pairs(keys: str) -> str:
         JOIN (SELECT source, key FROM {keys} WHERE source > 1 GROUP BY source, key HAVING count(*) <= 50) c ON c.source = b.source AND c.key = b.key"""
 
 
+def _fold(block: str, on: str, k: int, weights: str) -> str:
+    return f"""SELECT *, CAST(substr(p, 2, 1) AS INTEGER) AS src FROM (SELECT q, p, block, round(score, 6) AS score, row_number() OVER (PARTITION BY q, block ORDER BY round(score, 9) DESC, p) AS rank FROM
+        (SELECT a.id AS q, b.id AS p, a.block, sum(a.w * b.w) AS score FROM {weights} a JOIN {weights} b ON a.block = b.block AND a.term = b.term AND {on} GROUP BY ALL)) WHERE rank <= {k}"""
+
+
+def _grams(name: str) -> str:
+    text = f"lower({name} || ' ' || name_skel || ' ' || addr_norm)"
+    return f"""SELECT country || '/' || pool AS block, id, source, term, count(*) AS tf FROM (SELECT country, entity_id AS id, source, unnest(CASE WHEN source = 1 THEN [2, 3] ELSE [source] END) AS pool,
+        flatten(list_transform(list_filter(regexp_split_to_array({text}, '\\s+'), lambda w: w <> ''), lambda w: list_transform(generate_series(1, length(w)), lambda i: substr(' ' || w || ' ', i, 3)))) AS terms FROM {{table}}), unnest(terms) AS u(term) GROUP BY ALL"""
+
+
+def _weights(grams: str) -> str:
+    return f"""SELECT block, id, source, term, w / sqrt(sum(w * w) OVER (PARTITION BY block, id)) AS w FROM (SELECT g.*, (1 + ln(tf)) * (ln((1 + n.n) / (1 + v.df)) + 1) AS w FROM {grams} g
+        JOIN (SELECT block, term, count(*) AS df FROM {grams} GROUP BY ALL) v USING (block, term) JOIN (SELECT block, count(DISTINCT id) AS n FROM {grams} GROUP BY ALL) n USING (block))"""
+
+
+_LETTERS = ", ".join(f"'{c}'" for c in LETTERS)
+_UNIT = "list_transform({x}, lambda y: y / greatest(sqrt(list_inner_product({x}, {x})), 1e-6))"
+_COUNT = "list_transform([{letters}], lambda c: CAST(length({t}) - length(replace({t}, c, '')) AS DOUBLE))"
+
+
+def _dense(column: str, on: str, by: str, k: int) -> str:
+    return f"""SELECT * FROM (SELECT a.entity_id AS q, b.entity_id AS p, b.source AS src, round(list_inner_product(a.{column}, b.{column}), 6) AS score,
+        row_number() OVER (PARTITION BY {by} ORDER BY round(list_inner_product(a.{column}, b.{column}), 9) DESC, b.entity_id) AS rank FROM w_vec a JOIN w_vec b ON a.country = b.country AND {on}) WHERE rank <= {k}"""
+
+
+_FIVE = ["ch_emb", "ch_addr", "ch_skel", "ch_rare", "ch_rev"]
+_MORE = ["ch_rerank", "ch_k1", "ch_k3", "ch_k5", "ch_comb"]
+_TOKENS = "SELECT DISTINCT entity_id, country, token FROM (SELECT entity_id, country, unnest(list_filter(addr_tokens, lambda x: regexp_full_match(x, '[0-9]+') OR regexp_full_match(x, '[a-z]{4,}'))) AS token FROM norm)"
+
+
+def _flagged(name: str, names: list[str], source: str) -> str:
+    return f"SELECT s1_id, cand_id, {', '.join(f'{int(n == name)} AS {n}' for n in names)} FROM ({source})"
+
+
+def _keyed(keys: str) -> str:
+    return f"""SELECT s1_id, cand_id FROM (SELECT k.*, row_number() OVER (PARTITION BY k.s1_id, k.cand_source ORDER BY round(list_inner_product(a.v, b.v), 6) DESC, k.cand_id) AS rn FROM ({_pairs(keys)}) k
+        JOIN w_vec a ON a.entity_id = k.s1_id JOIN w_vec b ON b.entity_id = k.cand_id WHERE NOT EXISTS (SELECT 1 FROM w_base x WHERE x.s1_id = k.s1_id AND x.cand_id = k.cand_id)) WHERE rn <= 10"""
+
+
+def _added(before: str, found: str, order: str, code: int) -> str:
+    return f"""SELECT s1_id, cand_id, added_by FROM {before} UNION ALL SELECT s1_id, cand_id, {code} FROM (SELECT f.*, row_number() OVER (PARTITION BY s1_id ORDER BY {order}, cand_id) AS rn FROM {found} f
+        WHERE NOT EXISTS (SELECT 1 FROM {before} x WHERE x.s1_id = f.s1_id AND x.cand_id = f.cand_id)) WHERE rn <= 10"""
+
+
+#: All channels, by larger countries.
+WIDENED = {
+    "w_vec": f"""SELECT entity_id, source, country, {_UNIT.format(x='n')} AS v, {_UNIT.format(x='c')} AS vc FROM (SELECT entity_id, source, country, {_COUNT.format(letters=_LETTERS, t='name_full')} AS n, {_COUNT.format(letters=_LETTERS, t="(name_full || ' | ' || addr_norm)")} AS c FROM norm)""",
+    "w_a": _dense("v", "a.source = 1 AND b.source > 1", "a.entity_id, b.source", 200),
+    "w_d": _dense("v", "a.source > 1 AND b.source = 1", "a.entity_id", 3),
+    "w_h": _dense("vc", "a.source = 1 AND b.source > 1", "a.entity_id, b.source", 20),
+    "w_five": " UNION ALL ".join(_flagged(n, _FIVE, f"SELECT s1_id, cand_id FROM ({x})") for n, x in (("ch_emb", "SELECT q AS s1_id, p AS cand_id FROM w_a WHERE rank <= 20"), ("ch_addr", _pairs("k_addr")), ("ch_skel", _pairs("k_skel")), ("ch_rare", _pairs("k_rare")), ("ch_rev", "SELECT p AS s1_id, q AS cand_id FROM w_d"))),
+    "w_base": f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY greatest(ch_addr, ch_skel, ch_rare) DESC, emb_score DESC, cand_id) AS rn FROM
+        (SELECT f.s1_id, f.cand_id, {', '.join(f'max({c}) AS {c}' for c in _FIVE)}, any_value(round(list_inner_product(a.v, b.v), 6)) AS emb_score, coalesce(any_value(r.rank), 999) AS emb_rank FROM w_five f JOIN w_vec a ON a.entity_id = f.s1_id JOIN w_vec b ON b.entity_id = f.cand_id
+          LEFT JOIN (SELECT * FROM w_a WHERE rank <= 20) r ON r.q = f.s1_id AND r.p = f.cand_id GROUP BY f.s1_id, f.cand_id)) WHERE rn <= 40""",
+    "w_tok": _TOKENS,
+    "w_idf": "SELECT x.country, x.token, ln(1 + (any_value(n) + 1) / (count(*) + 1)) AS idf FROM w_tok x JOIN (SELECT country, count(DISTINCT entity_id) AS n FROM w_tok GROUP BY country) c ON c.country = x.country GROUP BY x.country, x.token",
+    "w_f": """SELECT s1_id, cand_id, f_score FROM (SELECT *, row_number() OVER (PARTITION BY s1_id, src ORDER BY f_score DESC, score DESC, cand_id) AS rn FROM
+        (SELECT w.q AS s1_id, w.p AS cand_id, any_value(w.src) AS src, any_value(w.score) AS score, coalesce(round(sum(i.idf), 6), 0) AS f_score FROM w_a w JOIN w_vec v ON v.entity_id = w.q LEFT JOIN (SELECT a.entity_id AS q, b.entity_id AS p, a.country, a.token FROM w_tok a JOIN w_tok b ON a.country = b.country AND a.token = b.token) t ON t.q = w.q AND t.p = w.p
+          LEFT JOIN w_idf i ON i.country = t.country AND i.token = t.token WHERE NOT EXISTS (SELECT 1 FROM w_base x WHERE x.s1_id = w.q AND x.cand_id = w.p) GROUP BY w.q, w.p)) WHERE rn <= 10""",
+    "w_fgh": " UNION ALL ".join(
+        f"SELECT *, {fs} AS f_score FROM ({_flagged(n, _MORE, x)})" if n != "ch_rerank" else f"SELECT s1_id, cand_id, {', '.join(str(int(m == n)) + ' AS ' + m for m in _MORE)}, f_score FROM w_f"
+        for n, x, fs in (("ch_rerank", "", ""), ("ch_k1", _keyed("k_k1"), 0), ("ch_k3", _keyed("k_k3"), 0), ("ch_k5", _keyed("k_k5"), 0), ("ch_comb", "SELECT q AS s1_id, p AS cand_id FROM w_h", 0))
+    ),
+    "w_new": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY {' + '.join(_MORE)} DESC, ch_comb DESC, f_score DESC, emb_score DESC, cand_id) AS rn FROM
+        (SELECT f.s1_id, f.cand_id, {', '.join(f'max({c}) AS {c}' for c in _MORE)}, max(f_score) AS f_score, any_value(round(list_inner_product(a.v, b.v), 6)) AS emb_score FROM w_fgh f JOIN w_vec a ON a.entity_id = f.s1_id JOIN w_vec b ON b.entity_id = f.cand_id
+          WHERE NOT EXISTS (SELECT 1 FROM w_base x WHERE x.s1_id = f.s1_id AND x.cand_id = f.cand_id) GROUP BY f.s1_id, f.cand_id)) WHERE rn <= 30""",
+    "w_t1": "SELECT s1_id, cand_id, 0 AS added_by FROM w_base UNION ALL SELECT s1_id, cand_id, 1 FROM w_new",
+    "w_g": _grams("name_full").format(table="norm"),
+    "w_w": _weights("w_g"),
+    "w_i": f"SELECT q AS s1_id, p AS cand_id, score, rank FROM ({_fold('block', 'a.source = 1 AND b.source > 1', 10, 'w_w')})",
+    "w_j": f"SELECT p AS s1_id, q AS cand_id, score, rank FROM ({_fold('block', 'a.source > 1 AND b.source = 1', 5, 'w_w')})",
+    "w_learn": """SELECT src, dst FROM (SELECT src, dst, n, n / sum(n) OVER (PARTITION BY src) AS share, row_number() OVER (PARTITION BY src ORDER BY n DESC, dst) AS rn FROM
+        (SELECT s[i] AS src, t[i] AS dst, count(*) AS n FROM (SELECT s, t, unnest(generate_series(1, len(s))) AS i FROM (SELECT list_filter(y, lambda w: NOT list_contains(x, w)) AS s, list_filter(x, lambda w: NOT list_contains(y, w)) AS t FROM
+          (SELECT a.full_t AS x, b.full_t AS y FROM norm a JOIN norm b ON a.country = b.country AND a.addr_tokens[1] = b.addr_tokens[1] AND a.addr_tokens[3] = b.addr_tokens[3] AND a.source = 1 AND b.source > 1))
+          WHERE len(s) = len(t) AND len(s) BETWEEN 1 AND 4) GROUP BY ALL)) WHERE rn = 1 AND n >= 1 AND share >= 0.1""",
+    "w_map": "SELECT n.* EXCLUDE (name_full), CASE WHEN n.source = 1 THEN n.name_full ELSE m.mapped END AS name_full FROM norm n LEFT JOIN (SELECT entity_id, string_agg(coalesce(l.dst, w.t), ' ' ORDER BY w.i) AS mapped FROM (SELECT entity_id, unnest(full_t) AS t, generate_subscripts(full_t, 1) AS i FROM norm WHERE source > 1) w LEFT JOIN w_learn l ON l.src = w.t GROUP BY entity_id) m ON m.entity_id = n.entity_id",
+    "w_gk": _grams("name_full").format(table="w_map"),
+    "w_wk": _weights("w_gk"),
+    "w_k": f"SELECT q AS s1_id, p AS cand_id, score, rank FROM ({_fold('block', 'a.source = 1 AND b.source > 1', 10, 'w_wk')})",
+    "w_t2": _added("w_t1", "w_i", "rank, score DESC", 2),
+    "w_t3": _added("w_t2", "w_j", "score DESC", 3),
+    "w_t4": _added("w_t3", "w_k", "rank, score DESC", 4),
+    "w_all": f"""SELECT t.s1_id, t.cand_id, CAST(substr(t.cand_id, 2, 1) AS INTEGER) - 2 AS cand_source, round(list_inner_product(a.v, b.v), 6) AS emb_score, coalesce(x.emb_rank, 999) AS emb_rank,
+        {', '.join(f'coalesce(x.{c}, 0) AS {c}' for c in _FIVE)}, {', '.join(f'coalesce(n.{c}, 0) AS {c}' for c in _MORE)}, t.added_by, a.country,
+        {', '.join(f'CASE WHEN {q}.s1_id IS NULL THEN 0 ELSE 1 END AS {f}, coalesce({q}.rank, 99) AS {r}_rank, coalesce({q}.score, 0) AS {r}_score' for q, f, r in (('i', 'ch_tfidf', 'tfidf'), ('j', 'ch_revtf', 'revtf'), ('k', 'ch_dict', 'dict')))},
+        round(list_inner_product(a.vc, b.vc), 6) AS comb_cos FROM w_t4 t JOIN w_vec a ON a.entity_id = t.s1_id JOIN w_vec b ON b.entity_id = t.cand_id LEFT JOIN w_base x ON x.s1_id = t.s1_id AND x.cand_id = t.cand_id LEFT JOIN w_new n ON n.s1_id = t.s1_id AND n.cand_id = t.cand_id
+        LEFT JOIN w_i i ON i.s1_id = t.s1_id AND i.cand_id = t.cand_id LEFT JOIN w_j j ON j.s1_id = t.s1_id AND j.cand_id = t.cand_id LEFT JOIN w_k k ON k.s1_id = t.s1_id AND k.cand_id = t.cand_id""",
+}
+
 CTES = {
     "rec": """SELECT 'S' || (1 + p_partkey % 3) || '-' || p_partkey AS entity_id, CAST(1 + p_partkey % 3 AS INTEGER) AS source, p_type AS country, p_name AS raw_name,
         p_size || ' ' || replace(p_brand, '#', ' ') || ' Street ' || CAST(floor(p_retailprice) AS INTEGER) AS raw_address FROM part""",
@@ -78,9 +169,16 @@ CTES = {
     "wts": "SELECT country, id, source, term, w / sqrt(sum(w * w) OVER (PARTITION BY country, id)) AS w FROM (SELECT g.*, (1 + ln(tf)) * idf AS w FROM grams g JOIN vocab USING (country, term))",
 }
 
+CTES |= WIDENED
+
 
-def statement(select: str) -> str:
+def statement(select: str, market: bool = False) -> str:
     """The query with the expressions that it needs, directly or through others, in their order."""
+    made = _statement(select)
+    return made.replace("p_type AS country", "p_brand AS country") if market else made
+
+
+def _statement(select: str) -> str:
     names: list[str] = []
 
     def need(text: str) -> None:
@@ -107,3 +205,11 @@ def statement(select: str) -> str:
 
 
 pairs, jaccard, skeleton = _pairs, _jaccard, _skeleton
+
+
+def unit(x: str) -> str:
+    return _UNIT.format(x=x)
+
+
+def letter_counts(text: str) -> str:
+    return _COUNT.format(letters=_LETTERS, t=text)

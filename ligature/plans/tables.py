@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import addresses, names
-from ..operators import blocking, candidates, decide, features
-from ..session import stage
+from ..functions import addresses, names, vectors
+from ..operators import blocking, candidates, channels, decide, features
+from ..session import stage, version
 from ..sources import records
 
 FLAGS = ["ch_addr", "ch_skel", "ch_rare", "ch_k3"]
@@ -17,12 +19,30 @@ def rounded(c: Column) -> Column:
     return F.round(c, 6)
 
 
-def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normalised catalog records, written to the shared folder: every step of linkage starts from them. They are
-    ASCII, so no other script needs a Python function."""
-    raw = records.catalog_records(spark, sf_dir)
-    made = addresses.normalize_addresses(names.normalize_names(raw, scripts="latin", halves=False), scripts="latin")
-    return stage(made.select("entity_id", "source", "country", "raw_name", "raw_address", "name_full", "core_name", "core_sorted", "legal", "name_skel", "addr_norm", "addr_tokens", "num_tokens", "house_no", "house_cands", "zip_pin"), "normalized")
+_held: dict[tuple, DataFrame] = {}
+
+
+def held(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame], tables: tuple[str, ...] = ("part",)) -> DataFrame:
+    """A table that several queries start from, written once for each state of the files that it comes from."""
+    state = "".join(version(spark.read.parquet(f"{sf_dir}/{t}.parquet")) for t in tables)
+    key = (spark.sparkContext.applicationId, name, state)
+    if key not in _held:
+        _held[key] = stage(build(), name)
+    return _held[key]
+
+
+NORMAL = ["entity_id", "source", "country", "raw_name", "raw_address", "name_full", "core_name", "core_sorted", "legal", "name_skel", "addr_norm", "addr_tokens", "num_tokens", "house_no", "house_cands", "zip_pin", "state_code"]
+
+
+def normalizing(spark: SparkSession, sf_dir: str, market: bool = False) -> DataFrame:
+    """Normalised catalog records. They are ASCII, so no other script needs a Python function."""
+    raw = records.catalog_records(spark, sf_dir, "p_brand" if market else "p_type")
+    return addresses.normalize_addresses(names.normalize_names(raw, scripts="latin", halves=False), scripts="latin").select(*NORMAL)
+
+
+def normalized(spark: SparkSession, sf_dir: str, market: bool = False) -> DataFrame:
+    """Normalised catalog records, written to the shared folder: every step of linkage starts from them."""
+    return held(spark, "market" if market else "normalized", sf_dir, lambda: normalizing(spark, sf_dir, market))
 
 
 def slim(norm: DataFrame) -> DataFrame:
@@ -47,7 +67,7 @@ def token_score(pairs: DataFrame, norm: DataFrame) -> DataFrame:
     return both.withColumn("emb_score", rounded(features.jaccard(F.col("__a"), F.col("__b"), F.lit(0.0)))).drop("__a", "__b")
 
 
-def channels(norm: DataFrame) -> dict[str, DataFrame]:
+def found_by(norm: DataFrame) -> dict[str, DataFrame]:
     freq = blocking.token_frequencies(norm)
     return {
         "ch_addr": blocking.key_join(blocking.address_keys(norm)),
@@ -57,28 +77,73 @@ def channels(norm: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def united(norm: DataFrame) -> DataFrame:
+def uniting(norm: DataFrame) -> DataFrame:
     """All channels' pairs with flags and scores, before the cap."""
-    return stage(token_score(candidates.union_channels(channels(norm)).drop("emb_score", "emb_rank"), norm), "candidates")
+    return token_score(candidates.union_channels(found_by(norm)).drop("emb_score", "emb_rank"), norm)
+
+
+def united(norm: DataFrame) -> DataFrame:
+    return stage(uniting(norm), "candidates")
+
+
+def capping(pairs: DataFrame) -> DataFrame:
+    return candidates.cap(pairs, ["ch_addr", "ch_k3"])
 
 
 def candidate_table(norm: DataFrame) -> DataFrame:
-    return candidates.cap(united(norm), ["ch_addr", "ch_k3"])
+    return capping(_once(norm, "candidates", uniting))
 
 
-def set_features(norm: DataFrame) -> DataFrame:
-    made = features.set_features(features.with_records(candidate_table(norm), slim(norm)))
+def set_features(norm: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    made = features.set_features(features.with_records(candidate_table(norm) if pairs is None else pairs, slim(norm)))
     a, b = F.col("a_addr_tokens"), F.col("b_addr_tokens")
     house = features.ternary((F.col("a_house_no") == "") | (F.col("b_house_no") == ""), F.col("a_house_no") == F.col("b_house_no"))
     return made.select("s1_id", "cand_id", "cand_source", *FLAGS, "emb_score", F.col("a_country").alias("country"), rounded(F.col("name_jaccard")).alias("name_jaccard"), rounded(F.col("num_jaccard")).alias("num_jaccard"), "len_diff", rounded(features.jaccard(a, b, F.lit(0.0))).alias("addr_jaccard"), house.alias("house_match"))
 
 
-def scored(norm: DataFrame) -> DataFrame:
+def scoring(pairs: DataFrame, norm: DataFrame) -> DataFrame:
     """Pairs with a probability from the rule score."""
     s = features.rule_score(100 * F.col("name_jaccard"), 100 * F.col("addr_jaccard"), F.col("house_match"))
-    return stage(set_features(norm).select("s1_id", "cand_id", "cand_source", "country", "emb_score", F.round(s / 100, 6).alias("prob")), "scored")
+    return set_features(norm, pairs).select("s1_id", "cand_id", "cand_source", "country", "emb_score", F.round(s / 100, 6).alias("prob"))
+
+
+def scored(norm: DataFrame) -> DataFrame:
+    return _once(norm, "scored", lambda n: scoring(candidate_table(n), n))
 
 
 def matched(norm: DataFrame) -> DataFrame:
     """Pairs that exclusivity and both thresholds keep."""
     return decide.thresholds(decide.exclusivity(scored(norm)), 0.5, 0.8)
+
+
+def _once(norm: DataFrame, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What follows from one written table of records, written once for it."""
+    key = (norm.sparkSession.sparkContext.applicationId, name, tuple(sorted(norm.inputFiles())))
+    if key not in _held:
+        _held[key] = stage(build(norm), name)
+    return _held[key]
+
+
+def full_records(norm: DataFrame) -> DataFrame:
+    """Records with every field that features read; the catalog's names have no aliases."""
+    halves = {c: F.lit("") for c in ("name_a", "name_b", "name_aka_a", "name_aka_b")}
+    derived = {"legal2": names.legal_forms(F.col("raw_name"), F.col("legal")), "street_key": addresses.street_key(F.col("raw_address"))}
+    return norm.withColumns(halves | derived)
+
+
+def dictionary(norm: DataFrame) -> DataFrame:
+    """(src, dst, n, share) learned from pairs of one country and address."""
+    rows = norm.select("source", "country", "name_full", F.col("addr_tokens")[0].alias("x"), F.col("addr_tokens")[2].alias("y"))
+    a, b = rows.where("source = 1").withColumnRenamed("name_full", "a").drop("source"), rows.where("source > 1").withColumnRenamed("name_full", "b").drop("source")
+    return candidates.learn_dictionary(a.join(b, ["country", "x", "y"]).select("a", "b"), least=1, share=0.1)
+
+
+def widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of all channels, by larger countries."""
+
+    def build() -> DataFrame:
+        norm = normalized(spark, sf_dir, market=True)
+        made = channels.candidate_table(norm, vectors.letter_counts, dictionary=stage(dictionary(norm), "dictionary"))
+        return made.join(norm.select(F.col("entity_id").alias("s1_id"), "country"), "s1_id")
+
+    return held(spark, "widened", sf_dir, build)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,3 +55,36 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or new_path(spark, name)
     df.write.option("compression", "zstd").mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def version(df: DataFrame) -> str:
+    """A name for the state of the files that a table is read from: paths, lengths and times of change."""
+    spark = df.sparkSession
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = hashlib.sha256()
+    for f in sorted(df.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        status = path.getFileSystem(hadoop).getFileStatus(path)
+        out.update(f"{f} {status.getLen()} {status.getModificationTime()}\n".encode())
+    return out.hexdigest()[:32]
+
+
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to the path to its end."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def resumed(spark: SparkSession, name: str, key: str, build: Callable[[], DataFrame], force: bool = False) -> DataFrame:
+    """The stage ``name`` of what ``key`` stands for: read again if it was written to its end before, else built anew.
+
+    Half-written folders are replaced; ``force`` builds in any case, into a folder of its own, and keeps the old one.
+    """
+    path = f"{shared_dir(spark)}/ligature/{name}-{hashlib.sha256(key.encode()).hexdigest()[:32]}"
+    if written(spark, path) and not force:
+        return spark.read.parquet(path)
+    df = build()
+    if force:
+        return stage(df, name)
+    df.write.option("compression", "zstd").mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

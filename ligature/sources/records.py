@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import resumed, version
+
 RECORD = T.StructType([T.StructField(c, T.StringType()) for c in ("entity_id", "business_name", "business_address", "country")])
 GOLD = T.StructType([T.StructField(c, T.StringType()) for c in ("source1_entity_id", "matched_entity_ids")])
 
@@ -16,6 +18,12 @@ def load_tsv(spark: SparkSession, path: str, schema: T.StructType = RECORD) -> D
     return df.fillna("")
 
 
+def cached(spark: SparkSession, path: str, schema: T.StructType = RECORD) -> DataFrame:
+    """A tab-separated table as Parquet: converted once for each state of its files, then read from there."""
+    state = version(spark.read.text(path))
+    return resumed(spark, "tsv", f"{path} {state} {schema.simpleString()}", lambda: load_tsv(spark, path, schema))
+
+
 def records_of(tsv: DataFrame) -> DataFrame:
     """(entity_id, source, country, raw_name, raw_address) of a loaded table."""
     return tsv.select("entity_id", F.substring("entity_id", 2, 1).cast("int").alias("source"), "country", F.col("business_name").alias("raw_name"), F.col("business_address").alias("raw_address"))
@@ -45,25 +53,36 @@ def _id(n: str):
     return F.concat(F.lit("S"), (1 + F.col(n) % 3).cast("string"), F.lit("-"), F.col(n).cast("string"))
 
 
-def catalog_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as records of three sources: dense duplicates of names, heavy blocks, numbers in addresses."""
+def catalog_records(spark: SparkSession, sf_dir: str, country: str = "p_type") -> DataFrame:
+    """Parts as records of three sources: dense duplicates of names, heavy blocks, numbers in addresses. Countries are
+    types (many, small) or brands (``p_brand``: few, large)."""
     p = _table(spark, sf_dir, "part")
     address = F.concat_ws(" ", F.col("p_size").cast("string"), F.replace("p_brand", F.lit("#"), F.lit(" ")), F.lit("Street"), F.floor("p_retailprice").cast("string"))
-    return p.select(_id("p_partkey").alias("entity_id"), (1 + F.col("p_partkey") % 3).cast("int").alias("source"), F.col("p_type").alias("country"), F.col("p_name").alias("raw_name"), address.alias("raw_address"))
+    return p.select(_id("p_partkey").alias("entity_id"), (1 + F.col("p_partkey") % 3).cast("int").alias("source"), F.col(country).alias("country"), F.col("p_name").alias("raw_name"), address.alias("raw_address"))
+
+
+#: Words and patterns of the directory's names and addresses; {w1} to {w3} are words, {n} and {d} numbers.
+WORDS = ["amber", "birch", "cedar", "dune", "ember", "fjord", "grove", "heron", "iris", "jade", "kelp", "larch", "mesa"]
+NAMES = ["{W1} {W2} Pvt. Ltd.", "www.{w1}{w2}.com", "{W1} {W2} | www.{w1}{w2}.in", "{W1} {W2} dba {W3} Inc", "{W1} {W2} a k a {W3}", "{W1}'s {W2} #0012345", "A.B.C. {W1} Corp", "No. 7 {W1} {W2}", "{W1} (India) {W2}", "The {W1} & {W2} Co", "Élan {W1} S.A.R.L.", "!!!", "LLC", "कमल {w1}", "{W1} Pruvet Limitid", "{W1}|{W2}"]
+PLACES = [("US", "00{n} Grand Street, Suite 12, Salem, Oregon"), ("US", "##{n} Mill Rd Unit 4 97301"), ("India", "16-11-{d} Lotus Marg, West Bengal 700001"), ("US", "null"), ("India", ""), ("France", None), ("France", "{n} rue de Paris 75001"), ("India", "Plot No. {n}, J & K"), ("US", "{n} Elm Blvd OR"), ("US", "PO Box {n}")]
 
 
-def text_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as records: the first six words are the name, the next twelve the address."""
-    d = _table(spark, sf_dir, "documents").where("text IS NOT NULL").withColumn("w", F.split("text", " "))
-    return d.select(_id("doc_id").alias("entity_id"), (1 + F.col("doc_id") % 3).cast("int").alias("source"), F.col("lang").alias("country"), F.array_join(F.slice("w", 1, 6), " ").alias("raw_name"), F.array_join(F.slice("w", 7, 12), " ").alias("raw_address"))
+def directory_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as records whose names and addresses need every rule of the normalisers."""
+    key = F.col("c_custkey")
+    word = lambda i: F.element_at(F.array(*[F.lit(w) for w in WORDS]), (i % len(WORDS) + 1).cast("int"))
+    parts = {"w1": word(key), "w2": word(F.floor(key / 5)), "w3": word(F.floor(key / 7)), "n": (100 + key % 900).cast("string"), "d": (10 + key % 90).cast("string")}
+    parts |= {f"W{i}": F.initcap(parts[f"w{i}"]) for i in (1, 2, 3)}
 
+    def filled(pattern: str | None):
+        out = F.lit(pattern)
+        for name, value in parts.items():
+            out = F.replace(out, F.lit("{" + name + "}"), value) if pattern and "{" + name + "}" in pattern else out
+        return out
 
-def text_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs (s1_id, cand_id, cand_source, country) of documents with equal texts."""
-    d = _table(spark, sf_dir, "documents").where("text IS NOT NULL").select(_id("doc_id").alias("id"), (F.col("doc_id") % 3).cast("int").alias("s"), F.col("lang").alias("country"), F.sha2("text", 256).alias("h"))
-    a = d.where("s = 0").select(F.col("id").alias("s1_id"), "country", "h")
-    b = d.where("s > 0").select(F.col("id").alias("cand_id"), (F.col("s") - 1).alias("cand_source"), "h")
-    return a.join(b, "h").drop("h")
+    pick = lambda xs: F.element_at(F.array(*xs), (key % len(xs) + 1).cast("int"))
+    c = _table(spark, sf_dir, "customer").select("c_custkey")
+    return c.select(key, _id("c_custkey").alias("entity_id"), (1 + key % 3).cast("int").alias("source"), pick([F.lit(p[0]) for p in PLACES]).alias("country"), pick([filled(p) for p in NAMES]).alias("raw_name"), pick([filled(p[1]) for p in PLACES]).alias("raw_address"))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,6 +26,15 @@ def write_lists(lists: DataFrame, path: str, header: tuple[str, str]) -> None:
     out.write.option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").option("lineSep", "\n").csv(path)
 
 
+def write_json(spark: SparkSession, value: object, path: str) -> None:
+    """A small value, such as thresholds or a dictionary, as one file that any reader of the shared folder finds."""
+    spark.createDataFrame([(json.dumps(value, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_json(spark: SparkSession, path: str) -> object:
+    return json.loads("\n".join(r["value"] for r in spark.read.text(path).collect()))
+
+
 def append_log(metrics: DataFrame, path: str) -> None:
     metrics.withColumn("written", F.current_timestamp()).write.mode("append").parquet(path)
 

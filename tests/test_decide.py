@@ -48,7 +48,19 @@ def test_grid_matches_single_decisions(spark):
     rows = spark.createDataFrame([("A", "C1", 0.9, 0.1), ("A", "C2", 0.6, 0.1), ("B", "C3", 0.4, 0.1)], SCHEMA)
     gold = spark.createDataFrame([("A", "C1"), ("A", "C2")], "s1_id string, cand_id string")
     s1 = spark.createDataFrame([("A",), ("B",), ("C",)], "s1_id string")
-    grid = {(r["t_top1"], r["t_extra"]): r["f05"] for r in decide.grid_search(rows, gold, s1, [0.3, 0.5], [0.5, 0.8], [0.0]).collect()}
+    grid = {(r["t_top1"], r["t_extra"]): r["f05"] for r in decide.grid_search(rows, gold, s1, [0.3, 0.5], [0.5, 0.8], [0.0], (True,)).collect()}
     for (a, b), f in grid.items():
         pred = decide.thresholds(decide.exclusivity(rows), a, b)
         assert abs(metrics.macro_f05(pred, gold, s1).first()["macro_f05"] - f) < 1e-4
+
+
+def test_full_grid_and_its_best_setting(spark):
+    rows = spark.createDataFrame([("A", "C1", 0.9, 0.1), ("A", "C2", 0.6, 0.1), ("B", "C1", 0.88, 0.1), ("B", "C3", 0.4, 0.1)], SCHEMA)
+    gold = spark.createDataFrame([("A", "C1"), ("A", "C2")], "s1_id string, cand_id string")
+    s1 = spark.createDataFrame([("A",), ("B",)], "s1_id string")
+    grid = decide.grid_search(rows, gold, s1)
+    assert grid.count() == 6 * sum(1 for a in decide.TOP1 for b in decide.EXTRA if b >= a)
+    best = decide.best_setting(grid).first()
+    assert (best["exclusive"], best["margin"], best["f05"]) == (True, 0.0, 1.0)
+    pred = decide.thresholds(decide.exclusivity(rows), best["t_top1"], best["t_extra"])
+    assert metrics.macro_f05(pred, gold, s1).first()["macro_f05"] == 1.0

@@ -3,7 +3,8 @@ import json
 import numpy as np
 from pyspark.sql import functions as F
 
-from ligature.operators import blocking, candidates, features, topk
+from ligature import session
+from ligature.operators import blocking, candidates, features, tfidf, tiles, topk
 from ligature.sources import records, sinks
 from ligature.streaming.incremental import resolve_stream
 
@@ -72,3 +73,36 @@ def test_stream_batches(spark, tmp_path):
     q = resolve_stream(stream, lambda b: b.withColumn("twice", F.col("id") * 2), str(tmp_path / "out"), str(tmp_path / "cp"))
     q.awaitTermination()
     assert sorted(r["twice"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 2, 4, 6, 8]
+
+
+def test_sparse_topk_against_plain(spark, monkeypatch):
+    monkeypatch.setattr(tfidf, "TILE", 3)
+    monkeypatch.setattr(tfidf, "COLUMNS", 2)
+    monkeypatch.setattr(tiles, "SPREAD", 1)
+    rng = np.random.default_rng(3)
+    w = np.where(rng.random((24, 9)) < 0.4, rng.random((24, 9)), 0)
+    rows = [("x", f"d{i}", int(t), float(w[i, t])) for i in range(24) for t in range(9) if w[i, t]]
+    df = spark.createDataFrame(rows, "country string, id string, t int, w double")
+    q, p = df.where("cast(substring(id, 2) as int) < 8"), df.where("cast(substring(id, 2) as int) >= 8")
+    got = {(r["q"], r["p"], r["rank"]): r["score"] for r in tfidf.topk(q, p, 2).collect()}
+    for i in range(8):
+        scores = sorted(((-float(w[i] @ w[j]), f"d{j}") for j in range(8, 24) if w[i] @ w[j] > 0))[:2]
+        for rank, (s, name) in enumerate(scores, 1):
+            assert abs(got[f"d{i}", name, rank] + s) < 1e-9
+
+
+def test_stages_resume(spark):
+    made = []
+
+    def build():
+        made.append(1)
+        return spark.range(3)
+
+    key = f"resume {session.new_path(spark, 'x')}"
+    assert [session.resumed(spark, "numbers", key, build).count() for _ in range(2)] == [3, 3] and len(made) == 1
+    assert session.resumed(spark, "numbers", key, build, force=True).count() == 3 and len(made) == 2
+
+
+def test_settings_files(spark, tmp_path):
+    sinks.write_json(spark, {"t_top1": 0.3, "names": ["a", "é"]}, str(tmp_path / "s"))
+    assert sinks.read_json(spark, str(tmp_path / "s")) == {"t_top1": 0.3, "names": ["a", "é"]}
