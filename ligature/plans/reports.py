@@ -123,13 +123,15 @@ def snapshot_diff(spark, d):
 
 
 @query("""SELECT 'repeated_id' AS rule, count(*) AS n FROM s1 WHERE s1_id LIKE '%3' UNION ALL SELECT 'missing_s1', count(*) FROM s1 WHERE s1_id LIKE '%9' UNION ALL SELECT 'unknown_prefix', count(*) FROM s1 WHERE s1_id LIKE '%6'
-    UNION ALL SELECT 'duplicate_s1', 0 UNION ALL SELECT 's1_in_list', count(*) FROM s1 WHERE s1_id LIKE '%0' UNION ALL SELECT 'extra_s1', 0""")
+    UNION ALL SELECT 'duplicate_s1', 0 UNION ALL SELECT 's1_in_list', count(*) FROM s1 WHERE s1_id LIKE '%0' UNION ALL SELECT 'extra_s1', 0
+    UNION ALL SELECT 'not_a_candidate', count(*) FROM s1 WHERE s1_id LIKE '%6' OR s1_id LIKE '%0' UNION ALL SELECT 'unknown_id', count(*) FROM s1 WHERE s1_id LIKE '%6' OR s1_id LIKE '%0'""")
 def validate_output(spark, d):
     """Faults are put into a result on purpose; the report counts them."""
-    s1 = T.s1_of(records.catalog_records(spark, d)).select("s1_id")
+    known = records.catalog_records(spark, d)
+    s1 = T.s1_of(known).select("s1_id")
     ends = lambda x: F.col("s1_id").endswith(x)
     rows = s1.where(~ends("9")).withColumn("ids", F.when(ends("3"), "S2-1,S2-1").when(ends("6"), "X-1").when(ends("0"), "S1-4").otherwise(""))
-    return sinks.validate(rows, s1).select("rule", "n")
+    return sinks.validate(rows, s1, s1.withColumn("cand_id", F.lit("S2-1")), known).select("rule", "n")
 
 
 @query("SELECT s1_id, CAST(coalesce((SELECT string_agg(cand_id, ',' ORDER BY emb_score DESC, cand_id) FROM cand c WHERE c.s1_id = s1.s1_id), '') AS VARCHAR) AS ids FROM s1")

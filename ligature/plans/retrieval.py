@@ -123,6 +123,15 @@ def topk_dense_reverse(spark, d):
     return topk.dense_topk(v.where("source > 0"), v.where("source = 0"), 3).withColumn("score", T.rounded(F.col("score")))
 
 
+@query("""SELECT q, p, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(score, 9) DESC, p) AS rank FROM
+    (SELECT a.id AS q, b.id AS p, greatest(list_inner_product(a.v, b.v), list_inner_product(a.v, list_reverse(b.v)), list_inner_product(list_reverse(a.v), b.v), list_inner_product(list_reverse(a.v), list_reverse(b.v))) AS score FROM vec a JOIN vec b ON a.country = b.country AND a.source = 0 AND b.source > 0)) WHERE rank <= 5""")
+def topk_dense_best_of(spark, d):
+    """Records with a main and an alternate vector count with the best of the four products."""
+    v = records.vectors(spark, d)
+    both = v.unionByName(v.withColumn("v", F.reverse("v")))
+    return topk.dense_topk(both.where("source = 0"), both.where("source > 0"), 5).withColumn("score", T.rounded(F.col("score")))
+
+
 @query("SELECT a.id AS q, b.id AS p, round(list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))), 6) AS score FROM vec a JOIN vec b ON b.id = a.id + 1")
 def pair_cosine(spark, d):
     v = records.vectors(spark, d).withColumn("v", vectors.normalized(F.col("v"))).select("id", "v")
@@ -165,6 +174,14 @@ def tfidf_vocab(spark, d):
     return _postings(spark, d)[1].drop("t").withColumn("idf", T.rounded(F.col("idf")))
 
 
+@query("SELECT country, term, CAST(total AS BIGINT) AS total, df, round(idf, 6) AS idf FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY total DESC, term) AS rn FROM vocab) WHERE rn <= 50")
+def tfidf_vocab_limit(spark, d):
+    """The fifty most frequent terms of each country."""
+    norm = T.normalized(spark, d)
+    docs = norm.select("country", F.col("entity_id").alias("id"), F.concat_ws(" ", "name_full", "name_skel").alias("text"))
+    return tfidf.vocabulary(tfidf.term_counts(docs), docs, 50).drop("t").withColumn("idf", T.rounded(F.col("idf")))
+
+
 @query("SELECT country, id, term, round(w, 6) AS w FROM wts")
 def tfidf_weights(spark, d):
     return _postings(spark, d)[2].select("country", "id", "term", T.rounded(F.col("w")).alias("w"))
