@@ -235,16 +235,16 @@ def _sets(ids: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
 def _needed(ids: DataFrame, texts: DataFrame) -> DataFrame:
     """The rows of ``texts`` whose id may be among ``ids``, by a bitmap of hash buckets; never fewer. The bitmap has
-    ``BITS`` bits and up to 16 times as many for many ids; beyond, it lets more rows through."""
+    ``BITS`` bits, and four times as many for many ids; beyond, it lets more rows through."""
     n = ids.count()
-    bits = min(16 * BITS, max(BITS, 1 << (8 * n).bit_length()))
+    bits = min(4 * BITS, max(BITS, 1 << (8 * n).bit_length()))
     bucket = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(bits))
-    marks = ids.select(bucket("id").alias("k")).groupBy(F.expr("k div 8").alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, cast(k % 8 as int))")).alias("bits")).collect()  # at most bits / 8 rows
-    bitmap = bytearray(bits // 8)
+    marks = ids.select(bucket("id").alias("k")).groupBy(F.expr("k div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(k % 64 as int))")).alias("bits")).collect()  # at most bits / 64 rows
+    words = np.zeros(bits // 64, "<i8")
     for r in marks:
-        bitmap[r["byte"]] = r["bits"]
+        words[r["word"]] = r["bits"]
     held = texts.withColumn("__k", bucket("id"))
-    byte = F.conv(F.hex(F.substring(F.lit(bytes(bitmap)), F.expr("cast(__k div 8 as int) + 1"), F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring(F.lit(words.tobytes()), F.expr("cast(__k div 8 as int) + 1"), F.lit(1))), 16, 10).cast("int")
     return held.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(__k % 8 as int))")) != 0).drop("__k")
 
 
