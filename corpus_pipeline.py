@@ -34,9 +34,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document of the mix, and digests of them and of the text that they decode to."""
-    vocabulary = bpe.default_vocabulary()
-    out = bpe.decode(bpe.encode(docs, vocabulary, keep=("doc_id", "source")), vocabulary)
-    return out.select("doc_id", "source", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"), "ids")
+    return bpe.encode_checked(docs, bpe.default_vocabulary(), keep=("doc_id", "source"))
 
 
 STAGES = [
