@@ -1,9 +1,10 @@
 """Quality classifier by positive-unlabelled learning.
 
-Trusted positives (label 1) and unlabelled documents are drawn as bounded samples, by the order of a hash of the
-document's id; everything else works on all rows. A linear model minimises the non-negative unbiased risk
-``pi * R+(P) + max(0, R-(U) - pi * R-(P))`` with the sigmoid loss. The class prior ``pi`` is estimated as the smallest
-ratio of the unlabelled to the positive share above a threshold of a plain positive-against-unlabelled model. A last
+A linear model minimises the non-negative unbiased risk ``pi * R+(P) + max(0, R-(U) - pi * R-(P))`` with the sigmoid
+loss. Its gradient steps draw from at most ``SAMPLE`` trusted positives (label 1) and ``UNLABELLED`` documents without
+labels, by the order of a hash of the document's id. Everything else works on all rows: the centre and scale of the
+features, and the class prior ``pi``, estimated as the smallest ratio of the unlabelled to the positive share above a
+threshold of a plain positive-against-unlabelled model, whose tails are counted over every unlabelled document. A last
 step maps the model's margin to a probability on labelled training rows.
 
 Features see the text only: shares of kinds of characters, repetition of words and lines, word shapes and hashed pairs
@@ -11,12 +12,13 @@ of bytes. Texts are read in slices, so a text of any length needs bounded memory
 
 Defined results: null texts count as empty; ids with several different labels, or a null one, teach nothing; without
 labelled positives every score is the estimated prior (0.5 if nothing is known); repeated rows get equal scores; an id
-on several rows is drawn once, with the smallest of its texts; documents without an id are scored but teach nothing.
+on several rows teaches once, by the smallest of its rows' features; documents without an id are scored but teach
+nothing; columns of the documents named score or predicted are replaced; an empty table has no scores.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -27,8 +29,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Most documents drawn as trusted positives, as unlabelled ones, and as labelled ones for the last step.
+#: Most labelled documents of each label, and most unlabelled ones, that gradient steps and the last step draw from.
 SAMPLE = 6000
+UNLABELLED = 6000
 THRESHOLD = 0.7
 #: Hash buckets for pairs of bytes.
 PAIRS = 64
@@ -132,28 +135,63 @@ def _adam(gradient, size: int, steps: int, rate: float = 0.02) -> np.ndarray:
     return w
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.2) -> float:
+def estimate_prior(positive: np.ndarray, tails: Callable[[np.ndarray], tuple[int, np.ndarray]], least: float = 0.2) -> float:
     """The smallest ratio of the unlabelled to the positive share above a threshold, over the thresholds that keep at
-    least ``least`` of the positives."""
-    p, u = np.sort(positive), np.sort(unlabelled)
-    best = 1.0
-    for t in np.quantile(p, np.linspace(0.0, 1 - least, 200)):
-        share_p = 1 - np.searchsorted(p, t, "left") / len(p)
-        share_u = 1 - np.searchsorted(u, t, "left") / len(u)
-        noise = np.sqrt(share_u * (1 - share_u) / len(u)) + np.sqrt(share_p * (1 - share_p) / len(p))
-        best = min(best, (share_u + noise) / max(share_p, 1e-9))
-    return float(np.clip(best, 0.02, 0.98))
-
-
-def fit(positive: np.ndarray, unlabelled: np.ndarray, known: np.ndarray, labels: np.ndarray, steps: int = 400, decay: float = 1e-3, seed: int = 7) -> Model:
+    least ``least`` of the positives. ``tails`` gives the number of unlabelled and how many reach each threshold."""
+    p = np.sort(positive)
+    at = np.quantile(p, np.linspace(0.0, 1 - least, 200))
+    n, above = tails(at)
+    share_p = np.maximum(1 - np.searchsorted(p, at, "left") / len(p), 1e-9)
+    share_u = above / max(1, n)
+    noise = np.sqrt(share_u * (1 - share_u) / max(1, n)) + np.sqrt(share_p * (1 - share_p) / len(p))
+    return float(np.clip(min(1.0, float(((share_u + noise) / share_p).min())), 0.02, 0.98))
+
+
+def ready(x: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Standardised features and a constant."""
+    return np.hstack([np.clip((x.astype(np.float64) - centre) / scale, -8, 8), np.ones((len(x), 1))])
+
+
+@dataclass
+class Corpus:
+    """What the fit takes from all unlabelled documents: their features' centre and scale, and ``tails``: for the plain
+    models of the two halves and thresholds, how many there are and how many reach each threshold."""
+
+    centre: np.ndarray
+    scale: np.ndarray
+    tails: Callable[[list[np.ndarray], np.ndarray], tuple[int, np.ndarray]]
+
+    @classmethod
+    def of(cls, x: np.ndarray, half: np.ndarray) -> Corpus:
+        centre, scale = x.mean(0, dtype=np.float64), x.std(0, dtype=np.float64) + 1e-4
+
+        def tails(ws: list[np.ndarray], at: np.ndarray) -> tuple[int, np.ndarray]:
+            return len(x), reached(cross_margins(ready(x, centre, scale), half, ws), at)
+
+        return cls(centre, scale, tails)
+
+
+def cross_margins(x: np.ndarray, half: np.ndarray, ws: list[np.ndarray]) -> np.ndarray:
+    """Margins of rows by the model of the other half, or what a model has seen would look easier than it is."""
+    return np.where(half == 0, x @ ws[1], x @ ws[0])
+
+
+def reached(margins: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return len(margins) - np.searchsorted(np.sort(margins), at, "left")
+
+
+def fit(positive: np.ndarray, unlabelled: np.ndarray, known: np.ndarray, labels: np.ndarray, steps: int = 400, decay: float = 1e-3, seed: int = 7, halves: tuple[np.ndarray, np.ndarray] | None = None, corpus: Corpus | None = None) -> Model:
     """The model of smallest non-negative risk from features of trusted positives and of unlabelled texts.
 
-    ``known`` and their ``labels`` set only the scale of the scores.
+    ``known`` and their ``labels`` set only the scale of the scores. ``halves`` (0 or 1 for each positive and unlabelled
+    row) split the plain models that estimate the prior; ``corpus`` stands for all unlabelled documents, if the given
+    ones are a sample.
     """
-    both = np.vstack([positive, unlabelled]).astype(np.float64)
-    centre, scale = both.mean(0), both.std(0) + 1e-4
-    ready = lambda x: np.hstack([np.clip((x - centre) / scale, -8, 8), np.ones((len(x), 1))])
-    p, u = ready(positive.astype(np.float64)), ready(unlabelled.astype(np.float64))
+    if halves is None:
+        halves = (np.arange(len(positive)) % 2, np.arange(len(unlabelled)) % 2)
+    corpus = corpus or Corpus.of(unlabelled, halves[1])
+    centre, scale = corpus.centre, corpus.scale
+    p, u = ready(positive, centre, scale), ready(unlabelled, centre, scale)
     size = p.shape[1]
     rng = np.random.default_rng(seed)
 
@@ -163,11 +201,10 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, known: np.ndarray, labels:
         ga, gb = _sigmoid(a @ w) - 1, _sigmoid(b @ w)
         return (ga @ a) / len(a) + (gb @ b) / len(b) + held * w
 
-    # each half is scored by a model of the other half, or the positives would look easier than they are
-    halves = [(p[i::2], u[i::2]) for i in (0, 1)] if min(len(p), len(u)) > 1 else [(p, u), (p, u)]
-    ws = [_adam(lambda w, _, a=a, b=b: plain(w, a, b), size, 150) for a, b in halves]
-    margins = [np.concatenate([halves[1 - i][k] @ w for i, w in enumerate(ws)]) for k in (0, 1)]
-    prior = estimate_prior(*margins)
+    parts = [(p[halves[0] == i], u[halves[1] == i]) for i in (0, 1)]
+    parts = [x if len(x[0]) and len(x[1]) else (p, u) for x in parts]
+    ws = [_adam(lambda w, _, a=a, b=b: plain(w, a, b), size, 150) for a, b in parts]
+    prior = estimate_prior(cross_margins(p, halves[0], ws), lambda at: corpus.tails(ws, at))
 
     def batch(x: np.ndarray) -> np.ndarray:
         return x[rng.integers(0, len(x), min(len(x), 1024))]
@@ -208,64 +245,122 @@ def held_out(key: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.encode(F.col(key).cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
-def _features(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """``keep`` columns and the features (binary, 32-bit floats) of ``__text``."""
-    schema = df.select(*keep).schema.simpleString()[7:-1] + ", x binary" if keep else "x binary"
+def described(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(__key, x): the features (binary, 32-bit floats) of every row, written to the shared folder."""
+    source = documents.select(F.col(key).alias("__key"), F.encode(common.text_or_empty(text), "UTF-8").alias("__text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            xs = [describe(t).tobytes() for t in batch.column(batch.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(xs, pa.binary())], [*batch.schema.names[:-1], "x"])
+            xs = [describe(t.as_py()).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(xs, pa.binary())], ["__key", "x"])
+
+    return common.stage(common.in_arrow(source, work, source.select("__key").schema.simpleString()[7:-1] + ", x binary"), "features")
+
 
-    return common.in_arrow(df.select(*keep, "__text"), work, schema)
+def _array(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, SIZE)
 
 
-def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str = "text", key: str = "doc_id", label: str = "quality") -> Model:
-    """Fit on at most ``sample`` trusted positives, as many unlabelled documents and as many labelled 0.
+def _total(df: DataFrame, size: int, part: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum over all rows (x, half) of what ``part`` makes of each batch: ``size`` numbers. Each task adds up its own,
+    and the sums of all are added by Spark."""
 
-    Only label rows that are not held out are read as labels; unlabelled are documents without any row in ``labels``.
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                out += part(_array(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(out)], ["i", "s"])
+
+    sums = common.in_arrow(df.select("x", "half"), work, "i long, s double").groupBy("i").agg(F.sum("s").alias("s")).collect()  # ``size`` rows
+    out = np.zeros(size)
+    for r in sums:
+        out[r["i"]] = r["s"]
+    return out
+
+
+def _drawn(known: DataFrame, most: int, n: int) -> DataFrame:
+    """The first ``most`` of ``n`` rows by ``order``. Orders are spread evenly, so a bound on them leaves hardly more rows
+    than are wanted; ids alone are sorted, and only the drawn rows' features leave their tasks."""
+    if not n or not most:
+        return known.limit(0)
+    share = 1.5 * most / n + 1e-4
+    near = known if share >= 1 else known.where(F.col("order") < F.lit(int(-(2**63) + share * 2**64)))
+    if share < 1 and near.count() < most:
+        near = known
+    picked = near.orderBy("order", "__key").limit(most).select("__key")
+    return near.join(F.broadcast(picked), "__key", "left_semi")
+
+
+def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, unlabelled: int = UNLABELLED, text: str = "text", key: str = "doc_id", label: str = "quality", features: DataFrame | None = None) -> Model:
+    """Fit on at most ``sample`` trusted positives, as many labelled 0, and ``unlabelled`` documents without any row in
+    ``labels``, with statistics of all of the latter. Only label rows that are not held out are read as labels.
+
+    ``features`` may pass what ``described`` has written for the documents.
     """
-    given = labels.select(F.col(key).alias("__key"), F.col(label).alias("__label"))
-    sure = given.where(~held_out("__key")).groupBy("__key").agg(F.min("__label").alias("label"), F.max("__label").alias("high"), F.count("__label").alias("n"), F.count(F.lit(1)).alias("rows"))
-    sure = sure.where("label = high AND n = rows AND __key IS NOT NULL").select("__key", "label")
+    features = described(documents, text, key) if features is None else features
+    given = labels.select(F.col(key).alias("__key"), F.col(label).alias("__label")).withColumn("__label", F.when(~held_out("__key"), F.col("__label")))
+    kinds = given.where("__key IS NOT NULL").groupBy("__key").agg(F.min("__label").alias("low"), F.max("__label").alias("high"), F.count("__label").alias("n"), F.count(F.lit(1)).alias("rows"))
+    kinds = kinds.select("__key", F.when((F.col("low") == F.col("high")) & (F.col("n") == F.col("rows")), F.col("low")).otherwise(-1).cast("int").alias("kind"))
+    once = features.where("__key IS NOT NULL").groupBy("__key").agg(F.min("x").alias("x"))
     order = F.xxhash64(F.col("__key").cast("string"), F.lit(11))
-    texts = documents.select(F.col(key).alias("__key"), F.encode(common.text_or_empty(text), "UTF-8").alias("__text"))
-    ids = documents.select(F.col(key).alias("__key")).where("__key IS NOT NULL").distinct()
-    taught = ids.join(sure, "__key")
-    picked = [
-        taught.where("label = 1").orderBy(order, "__key").limit(sample).select("__key", F.lit(1).alias("kind")),
-        taught.where("label = 0").orderBy(order, "__key").limit(sample).select("__key", F.lit(0).alias("kind")),
-        ids.join(given.select("__key").distinct(), "__key", "left_anti").orderBy(order, "__key").limit(sample).select("__key", F.lit(2).alias("kind")),
-    ]
-    wanted = picked[0].unionByName(picked[1]).unionByName(picked[2])
-    drawn = texts.join(F.broadcast(wanted), "__key").groupBy("__key", "kind").agg(F.min("__text").alias("__text"))
-    rows = _features(drawn, ("__key", "kind")).collect()  # one row for each drawn id
-    rows.sort(key=lambda r: (r.kind, r["__key"]))
+    known = once.join(kinds, "__key", "left").select("__key", F.coalesce("kind", F.lit(2)).alias("kind"), order.alias("order"), F.pmod(F.xxhash64(F.col("__key").cast("string"), F.lit(12)), F.lit(2)).cast("int").alias("half"), "x")
+    known = common.stage(known, "known")
+    counts = {r["kind"]: r["n"] for r in known.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = []
+    for kind, most in ((0, sample), (1, sample), (2, unlabelled)):
+        rows += _drawn(known.where(F.col("kind") == kind), most, counts.get(kind, 0)).collect()
     x = {k: np.array([np.frombuffer(r.x, np.float32) for r in rows if r.kind == k]).reshape(-1, SIZE) for k in (0, 1, 2)}
+    half = {k: np.array([r.half for r in rows if r.kind == k], np.int64) for k in (0, 1, 2)}
     if not len(x[1]):
         return Model(np.zeros(SIZE), np.ones(SIZE), np.zeros(SIZE), 0.0, 1.0, 0.0, 0.5)
-    unlabelled = x[2] if len(x[2]) else np.vstack([x[0], x[1]])
-    return fit(x[1], unlabelled, np.vstack([x[0], x[1]]), np.array([0] * len(x[0]) + [1] * len(x[1])))
+    if len(x[2]):
+        rest = known.where("kind = 2")
+    else:  # without unlabelled documents, the labelled ones stand for them
+        x[2], half[2] = np.vstack([x[0], x[1]]), np.concatenate([half[0], half[1]])
+        rest = known.where("kind IN (0, 1)")
+    sums = _total(rest, 1 + 2 * SIZE, lambda v, _: np.r_[len(v), v.sum(0, dtype=np.float64), (v.astype(np.float64) ** 2).sum(0)])
+    n = max(1.0, sums[0])
+    centre = sums[1 : 1 + SIZE] / n
+    scale = np.sqrt(np.maximum(sums[1 + SIZE :] / n - centre**2, 0)) + 1e-4
+
+    def tails(ws: list[np.ndarray], at: np.ndarray) -> tuple[int, np.ndarray]:
+        found = _total(rest, 1 + len(at), lambda v, h: np.r_[len(v), reached(cross_margins(ready(v, centre, scale), h, ws), at)])
+        return int(found[0]), found[1:]
+
+    return fit(x[1], x[2], np.vstack([x[0], x[1]]), np.array([0] * len(x[0]) + [1] * len(x[1])), halves=(half[1], half[2]), corpus=Corpus(centre, scale, tails))
 
 
 def score(documents: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """All columns of ``documents``, with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on)."""
-    columns = documents.columns
-    source = documents.withColumn("__text", F.encode(common.text_or_empty(text), "UTF-8"))
-    schema = documents.schema.simpleString()[7:-1] + ", score double, predicted int"
+    source = documents.withColumn("__text", F.encode(common.text_or_empty(text), "UTF-8")).drop("score", "predicted")
+    schema = source.drop("__text").schema.simpleString()[7:-1] + ", score double, predicted int"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            xs = [describe(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            s = model.score(np.array(xs).reshape(-1, SIZE).astype(np.float64))
-            made = [pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], [*columns, "score", "predicted"])
+            xs = np.array([describe(t.as_py()) for t in batch.column(batch.num_columns - 1)]).reshape(-1, SIZE)
+            yield _scored(batch.columns[:-1], batch.schema.names[:-1], model, xs, threshold)
 
     return common.in_arrow(source, work, schema)
 
 
+def _scored(columns: list, names: list[str], model: Model, xs: np.ndarray, threshold: float) -> pa.RecordBatch:
+    s = model.score(xs.astype(np.float64))
+    return pa.RecordBatch.from_arrays([*columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())], [*names, "score", "predicted"])
+
+
+def score_described(features: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """(__key, score, predicted) of every row that ``described`` has written."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _scored([batch.column(0)], ["__key"], model, _array(batch.column(1)), threshold)
+
+    return common.in_arrow(features.select("__key", "x"), work, features.select("__key").schema.simpleString()[7:-1] + ", score double, predicted int")
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = learn(documents, common.table(spark, sf_dir, "labels"))
-    slim = documents.select("doc_id", "text")
-    return score(slim, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    documents = common.table(spark, sf_dir, "documents")
+    features = described(documents)
+    model = learn(documents, common.table(spark, sf_dir, "labels"), features=features)
+    return score_described(features, model).select(F.col("__key").alias("doc_id"), held_out("__key").alias("held_out"), "score", "predicted")
