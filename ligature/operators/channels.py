@@ -46,10 +46,6 @@ class Sizes:
     block: int = blocking.MAX_BLOCK
 
 
-def _pool(norm: DataFrame) -> list[DataFrame]:
-    return [norm.where(F.col("source") == s) for s in (2, 3)]
-
-
 def _scored(found: DataFrame, rank: str, score: str = "emb_score") -> DataFrame:
     return found.select(F.col("q").alias("s1_id"), F.col("p").alias("cand_id"), F.round("score", 6).alias(score), F.col("rank").cast("int").alias(rank))
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..operators import blocking, candidates, decide, features, models
 from ..session import stage
 from ..sources import records
-from . import sql as S
 from . import tables as T
 from .registry import query
 

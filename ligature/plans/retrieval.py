@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import addresses, constants, names, vectors
-from ..operators import blocking, candidates, tfidf, topk
+from ..operators import blocking, tfidf, topk
 from ..session import stage
 from ..sources import records
 from . import sql as S
