@@ -13,9 +13,12 @@ from ligature.llm import bpe, common, mixing, neardup, quality
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the positive-unlabelled classifier, taught by the labels of ``sf_dir``, accepts."""
+    """Documents that the positive-unlabelled classifier, taught by the labels of ``sf_dir``, accepts; columns that are
+    named like its own stay as they are."""
     model = quality.learn(docs, common.table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where("predicted = 1").select(*docs.columns)
+    own = {c: f"__own_{c}" for c in ("score", "predicted") if c in docs.columns}
+    kept = quality.score(docs.withColumnsRenamed(own), model).where("predicted = 1")
+    return kept.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
