@@ -1,13 +1,16 @@
 """Document fingerprints by homomorphic multiset hashing, in DataFrame functions only.
 
 A text is taken as the multiset of its paragraphs, long ones cut into pieces of ``WORDS`` words. Each piece is hashed
-to a wide vector: ``WIDE`` words of 62 uniform bits, and ``PACKED`` words that hold 0 or 1 in each of three 21-bit
-lanes. The fingerprint is the sum of the vectors modulo 2^62 in each word, with the number of pieces. It does not
-depend on the order of the pieces; fingerprints add up under concatenation of multisets (``combine``), and pieces can
-be added or taken away later.
+to a wide vector: ``WIDE`` words of 62 uniform bits, and ``PACKED`` words that hold 0 or 1 in each of two 31-bit lanes.
+The fingerprint is the sum of the vectors modulo 2^62 in each word, with the number of pieces. It does not depend on
+the order of the pieces; fingerprints add up under concatenation of multisets (``combine``), and pieces can be added or
+taken away later. A lane holds the sum of 2^31 - 1 pieces, more than any text can have, without reaching the next one.
 
 The wide words tell multisets apart. The lanes are sums of random signs, so the products of two texts' lanes estimate
-the size of their common multiset, and ``likeness`` is twice that over the sum of their own.
+the size of their common multiset, and ``likeness`` is twice that over the sum of their own. Its standard error is
+1 / sqrt(lanes) for texts without anything in common, and less the more alike they are.
+
+Pieces are rows of an aggregation, whose sums are generated code; they stay in the task that holds their text.
 
 Defined results: null and empty texts have no pieces and the all-zero fingerprint; two such are alike (1), one such
 and another text are not (0); equal texts have equal fingerprints. Order: ids descending, null ids last, ties by text.
@@ -23,12 +26,12 @@ from . import common
 
 WORDS = 8
 WIDE = 4
-#: Per 64-bit hash, 21 words with three lanes each: 63 lanes.
-HASHES = 2
-PACKED = 21 * HASHES
+#: Per 64-bit hash, 31 words with two lanes each: 62 lanes.
+HASHES = 6
+PACKED = 31 * HASHES
 _MASK = (1 << 62) - 1
-_LANES = 1 | 1 << 21 | 1 << 42
-_LANE = (1 << 21) - 1
+_HALF = (1 << 31) - 1
+_LANES = 1 | 1 << 31
 #: Most buckets of the global order; each is read as one window.
 BUCKETS = 16384
 
@@ -38,21 +41,20 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"(?:\S++[^\S\n]*+){{1,{WORDS}}}"), F.lit(0))
 
 
-def vector(text: Column) -> Column:
-    """The fingerprint as an array of longs: number of pieces, wide words, packed lanes."""
-    # pieces are hashed once; the array of hashes is then summed word by word
-    hashed = F.transform(pieces(text), lambda p: F.struct(*[F.xxhash64(p, F.lit(i)).alias(f"h{i}") for i in range(WIDE + HASHES)]))
-    total = lambda hs, f: F.aggregate(hs, F.lit(0).cast("long"), lambda a, h: (a + f(h)).bitwiseAND(F.lit(_MASK)))
-
-    def sums(hs: Column) -> Column:
-        words = [F.size(hs).cast("long")]
-        words += [total(hs, lambda h, i=i: h[f"h{i}"].bitwiseAND(F.lit(_MASK))) for i in range(WIDE)]
-        for i in range(WIDE, WIDE + HASHES):
-            words += [total(hs, lambda h, i=i, j=j: F.shiftrightunsigned(h[f"h{i}"], j).bitwiseAND(F.lit(_LANES))) for j in range(21)]
-        return F.array(*words)
-
-    # a one-element transform names the array of hashes, so that it is built once a row
-    return F.transform(F.array(hashed), sums)[0]
+def vectors(df: DataFrame, text: str, by: list[str]) -> DataFrame:
+    """``by`` columns, which name one row each, and ``v``, the fingerprint of the row's text as an array of longs: number
+    of pieces, wide words, packed lanes. No shuffle is needed if ``df`` is partitioned by some of ``by``."""
+    split = df.select(*by, F.explode_outer(pieces(F.col(text))).alias("__p"))
+    hashes = [F.when(F.col("__p").isNull(), 0).otherwise(F.xxhash64("__p", F.lit(i))).alias(f"__h{i}") for i in range(WIDE + HASHES)]
+    hashed = split.select(*by, F.col("__p").isNotNull().cast("long").alias("__n"), *hashes)
+    sums = [F.sum("__n").alias("__s")]
+    for i in range(WIDE):  # halves, whose sums cannot overflow
+        sums += [F.sum(F.shiftrightunsigned(f"__h{i}", at).bitwiseAND(F.lit(_HALF))).alias(f"__w{i}_{at}") for at in (0, 31)]
+    for i in range(WIDE, WIDE + HASHES):
+        sums += [F.sum(F.shiftrightunsigned(f"__h{i}", j).bitwiseAND(F.lit(_LANES))).alias(f"__l{i}_{j}") for j in range(31)]
+    wide = [(F.col(f"__w{i}_0") + F.shiftleft(F.col(f"__w{i}_31").bitwiseAND(F.lit(_HALF)), 31)).bitwiseAND(F.lit(_MASK)) for i in range(WIDE)]
+    lanes = [F.col(f"__l{i}_{j}") for i in range(WIDE, WIDE + HASHES) for j in range(31)]
+    return hashed.groupBy(*by).agg(*sums).select(*by, F.array("__s", *wide, *lanes).alias("v"))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -62,25 +64,29 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
 
 
 def digest(v: Column) -> Column:
-    """The fingerprint in hex."""
-    return F.lower(F.array_join(F.transform(v, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
+    """The number of pieces and the wide words in hex: equal for equal multisets, and they too add up."""
+    return F.lower(F.array_join(F.transform(F.slice(v, 1, 1 + WIDE), lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
 
-def signs(v: Column) -> Column:
-    """The sums of random signs in all lanes."""
-    lanes = F.flatten(F.transform(F.slice(v, 2 + WIDE, PACKED), lambda x: F.array(*[F.shiftrightunsigned(x, s).bitwiseAND(F.lit(_LANE)) for s in (0, 21, 42)])))
-    return F.transform(lanes, lambda c: (F.lit(2) * c - v[0]).cast("double"))
+def _product(a: Column, b: Column) -> Column:
+    """The sum over all lanes of the products of the sums of signs; a lane's sum of signs is 2 c - n."""
+    na, nb = a[0].cast("double"), b[0].cast("double")
+    low = lambda x: x.bitwiseAND(F.lit(_HALF))
+    high = lambda x: F.shiftrightunsigned(x, 31)
+    word = lambda x, y: (F.lit(2.0) * low(x) - na) * (F.lit(2.0) * low(y) - nb) + (F.lit(2.0) * high(x) - na) * (F.lit(2.0) * high(y) - nb)
+    lanes = lambda v: F.slice(v, 2 + WIDE, PACKED)
+    return F.aggregate(F.zip_with(lanes(a), lanes(b), word), F.lit(0.0), lambda s, x: s + x)
 
 
-def _product(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+def norm(v: Column) -> Column:
+    """The product of a fingerprint with itself."""
+    return _product(v, v)
 
 
-def likeness(a: Column, b: Column) -> Column:
+def likeness(a: Column, b: Column, norm_a: Column | None = None, norm_b: Column | None = None) -> Column:
     """0 to 1 from two fingerprints: 1 if they are equal, else the estimated share of common pieces."""
-    sa, sb = signs(a), signs(b)
-    own = _product(sa, sa) + _product(sb, sb)
-    shared = F.when(own > 0, 2 * _product(sa, sb) / own).otherwise(F.lit(0.0))
+    own = (norm(a) if norm_a is None else norm_a) + (norm(b) if norm_b is None else norm_b)
+    shared = F.when(own > 0, 2 * _product(a, b) / own).otherwise(F.lit(0.0))
     return F.when(a == b, F.lit(1.0)).when((a[0] == 0) | (b[0] == 0), F.lit(0.0)).otherwise(F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), shared)), 6))
 
 
@@ -97,7 +103,8 @@ def _bucket(key: Column, splits: list) -> Column:
 
 def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Adds ``next`` (a struct of ``columns``): of the row that follows in descending order of the key, and of the
-    first row for the last one.
+    first row for the last one. ``__bucket`` and ``__row`` name a row; ``__ghost`` rows are copies of a bucket's
+    successor, which close the bucket and are to be dropped.
 
     Rows go to buckets between quantiles of the key; the first row of each bucket is also sent, as a ghost, to the
     bucket before it, so every bucket is finished by itself. The number of buckets follows the shuffle partitions, and
@@ -120,7 +127,7 @@ def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     both = own.withColumn("__to", F.explode(F.when(F.col("__to").isNull(), F.array(F.struct(F.col("__bucket").alias("b"), F.lit(False).alias("g")))).otherwise(F.array(F.struct(F.col("__bucket").alias("b"), F.lit(False).alias("g")), F.struct(F.col("__to").alias("b"), F.lit(True).alias("g"))))))
     both = both.withColumn("__bucket", F.col("__to.b")).withColumn("__ghost", F.col("__to.g")).drop("__to", "__top")
     order = W.partitionBy("__bucket").orderBy("__ghost", F.col(key).desc_nulls_last(), *columns)
-    return both.withColumn("next", F.lead(F.struct(*columns)).over(order)).where("NOT __ghost").drop("__bucket", "__ghost")
+    return both.withColumn("next", F.lead(F.struct(*columns)).over(order)).withColumn("__row", F.row_number().over(order))
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -131,13 +138,33 @@ def edited(text: Column, following: Column) -> Column:
 
 
 def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, text, v): every whole text (null: empty) with its fingerprint."""
-    return documents.select(key, common.text_or_empty(text).alias("text")).withColumn("v", vector(F.col("text")))
+    """(key, v): the fingerprint of every whole text (null: empty); repeated rows stay rows."""
+    rows = documents.select(F.monotonically_increasing_id().alias("__row"), F.col(key), common.text_or_empty(text).alias("__text"))
+    return vectors(rows, "__text", ["__row", key]).drop("__row")
+
+
+def edits(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_chars, edited_sha256, v, edited_v, near_edited, near_next) of every text, of that text with its last third
+    taken from the next document's beginning, and of the next document.
+
+    Texts are shuffled once, into buckets of neighbours; their pieces and sums stay in the bucket's task.
+    """
+    own = documents.select(F.col(key).alias("__key"), common.text_or_empty(text).alias("text"))
+    rows = with_next(own, "__key", ["text"])
+    rows = rows.select("__bucket", "__row", "__ghost", "__key", "text", edited(F.col("text"), F.col("next.text")).alias("edited"))
+    both = F.array(F.struct(F.lit(0).alias("kind"), F.col("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))
+    texts = rows.select("__bucket", "__row", "__ghost", "__key", F.explode(F.when(F.col("__ghost"), F.slice(both, 1, 1)).otherwise(both)).alias("t"))
+    digest_of = F.when(F.col("t.kind") == 1, F.sha2(F.encode("t.text", "UTF-8"), 256))
+    texts = texts.select("__bucket", "__row", "__ghost", "__key", F.col("t.kind").alias("__kind"), F.length("t.text").cast("long").alias("n_chars"), digest_of.alias("edited_sha256"), F.col("t.text").alias("__text"))
+    found = vectors(texts, "__text", [c for c in texts.columns if c != "__text"]).withColumn("norm", norm(F.col("v")))
+    # a row's text and its edited text are neighbours, and so is the next row's text
+    order = W.partitionBy("__bucket").orderBy("__row", "__kind")
+    found = found.withColumn("e", F.lead(F.struct("v", "norm", "edited_sha256")).over(order)).withColumn("x", F.lead(F.struct("v", "norm"), 2).over(order))
+    found = found.where("__kind = 0 AND NOT __ghost")
+    near = lambda other: likeness(F.col("v"), F.col(f"{other}.v"), F.col("norm"), F.col(f"{other}.norm"))
+    return found.select(F.col("__key").alias(key), "n_chars", F.col("e.edited_sha256").alias("edited_sha256"), "v", F.col("e.v").alias("edited_v"), near("e").alias("near_edited"), near("x").alias("near_next"))
 
 
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = fingerprints(common.table(spark, sf_dir, "documents"))
-    rows = with_next(own, "doc_id", ["text", "v"])
-    rows = rows.withColumn("edited", edited(F.col("text"), F.col("next.text")))
-    rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "v", F.col("next.v").alias("nv"), vector(F.col("edited")).alias("ev"))
-    return rows.select("doc_id", "n_chars", "edited_sha256", digest(F.col("v")).alias("fingerprint"), digest(F.col("ev")).alias("edited_fingerprint"), likeness(F.col("v"), F.col("ev")).alias("near_edited"), likeness(F.col("v"), F.col("nv")).alias("near_next"))
+    found = edits(common.table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", digest(F.col("v")).alias("fingerprint"), digest(F.col("edited_v")).alias("edited_fingerprint"), "near_edited", "near_next")
