@@ -1,10 +1,14 @@
 """Main text of web pages by two passes of block rules.
 
-A page is cut into blocks at block-level tags. The first pass decides a block from what surrounds it (inside menus,
-headers, footers, sidebars, notices, adverts, forms or comments: boilerplate; inside an article or main element:
-content), or from its link density, length and density of stop words; short and middling blocks stay ambiguous. The
-second pass gives each ambiguous block the label that its nearest decided neighbours agree on; where they differ, near-
-content blocks are content and short ones take the nearer neighbour's label.
+A page is cut into blocks at block-level tags. The first pass classifies a block by its link density, its length and
+its density of stop words: much linked text and long text without stop words is boilerplate (bad), long text with many
+is content (good), what lies between is near to content, and short blocks stay open. Markup counts as evidence beside
+these measures: inside menus, headers, footers, sidebars, notices, adverts, forms or comments a class is lowered, and
+inside an article or main element what would be bad for its words alone is near to content.
+
+The second pass gives each open block the label of its nearest decided neighbours in its own section of the page; where
+they differ, near-content blocks are content and short ones take the nearer label. The ends of a section count as
+neighbours: good ones of an article or main element, bad ones of anything else and of the page.
 
 Defined results: null, empty and text-free pages have the empty text; broken and unclosed markup is read as far as it
 goes; a page of ambiguous blocks alone is kept; blocks are kept whole, in page order, joined by one line feed. Rows are read one by one, so repeats and ties need
@@ -49,16 +53,19 @@ _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 _LETTERS = re.compile(r"[^\W\d_]+")
 
-SHORT, LONG = 70, 200
-FEW, MANY = 0.20, 0.30
-LINKS = 0.33
+SHORT, LONG = 90, 140
+FEW, MANY = 0.10, 0.20
+#: Share of linked text that makes a block boilerplate; within content, a link may fill more of one.
+LINKS, MOST_LINKS = 0.33, 0.6
 
 
 class Block:
-    __slots__ = ("linked", "place", "text")
+    """A block's text, how much of it is linked, the evidence of its markup (-1, 0, 1) and its section."""
+
+    __slots__ = ("linked", "place", "section", "text")
 
-    def __init__(self, text: str, linked: int, place: int):
-        self.text, self.linked, self.place = text, linked, place
+    def __init__(self, text: str, linked: int, place: int, section: int):
+        self.text, self.linked, self.place, self.section = text, linked, place, section
 
 
 def _place(tag: str, attributes: str, outer: int) -> int:
@@ -86,18 +93,26 @@ def blocks_of(page: str) -> list[Block]:
     """The blocks that hold any text, in page order."""
     out: list[Block] = []
     parts: list[str] = []
-    linked = links = place = breaks = 0
-    stack: list[tuple[str, int]] = []
+    linked = links = place = section = sections = breaks = 0
+    stack: list[tuple[str, int, int]] = []
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, linked, place))
+                out.append(Block(text, linked, place, section))
             parts.clear()
         linked = 0
 
+    def enter(tag: str, inner: int) -> None:
+        nonlocal place, section, sections
+        stack.append((tag, place, section))
+        if inner != place or tag in CONTENT:
+            sections += 1
+            section = sections
+        place = inner
+
     at = 0
     for m in _TOKEN.finditer(page):
         if m.start() > at:
@@ -124,28 +139,25 @@ def blocks_of(page: str) -> list[Block]:
         if tag in INLINE:
             if not m[2] and tag != "a" and tag not in VOID and _place(tag, m[4], place) < 0 <= place:
                 flush()
-                stack.append((tag, place))
-                place = -1
+                enter(tag, -1)
             elif m[2] and stack and stack[-1][0] == tag:
                 flush()
-                place = stack.pop()[1]
+                _, place, section = stack.pop()
             continue
         flush()
         links = 0
         if m[2]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    place = stack[i][1]
+                    _, place, section = stack[i]
                     del stack[i:]
                     break
         elif tag not in VOID and tag not in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and not m[4].rstrip().endswith("/"):
-            stack.append((tag, place))
-            place = _place(tag, m[4], place)
+            enter(tag, _place(tag, m[4], place))
         elif tag in ("p", "li") and m[4]:
             inner = _place(tag, m[4], place)
             if inner != place:
-                stack.append((tag, place))
-                place = inner
+                enter(tag, inner)
     if at < len(page):
         parts.append(_OPEN.sub("", page[at:].split("<!--")[0]))
     flush()
@@ -154,50 +166,56 @@ def blocks_of(page: str) -> list[Block]:
 
 def classify(block: Block) -> str:
     """First pass: good, bad, near (to good) or short."""
-    if block.place < 0:
+    n = len(block.text)
+    if block.linked > (LINKS if block.place <= 0 else MOST_LINKS) * n:
         return "bad"
-    density = block.linked / max(1, len(block.text))
-    if density > (0.6 if block.place > 0 else LINKS):
-        return "bad"
-    if block.place > 0:
-        return "good"
     words = _LETTERS.findall(block.text.lower())
     stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if len(block.text) < SHORT:
+    if n < SHORT:
         notice = block.text.startswith("©") or "copyright" in block.text.lower()
-        return "bad" if block.linked or (notice and stops < FEW) else "short"
-    if stops >= MANY:
-        return "good" if len(block.text) > LONG else "near"
-    return "near" if stops >= FEW else "bad"
+        return "bad" if block.place <= 0 and (block.linked or notice and stops < FEW) else "short"
+    if stops >= MANY and n > LONG:
+        return "near" if block.place < 0 else "good"
+    if stops >= FEW:
+        return "short" if block.place < 0 else "near"
+    return "near" if block.place > 0 else "bad"
 
 
-def main_text(page: str) -> str:
-    blocks = blocks_of(page)
+def labels(blocks: list[Block]) -> list[str]:
+    """Second pass: good or bad for each block."""
     first = [classify(b) for b in blocks]
-    n = len(blocks)
-    if not {"good", "bad"}.intersection(first):  # nothing marks any of it as boilerplate
-        return "\n".join(b.text for b in blocks)
-    before: list[tuple[str, int]] = []
-    seen, where = "bad", -1  # the edges of a page count as boilerplate
-    for i, c in enumerate(first):
-        before.append((seen, i - where))
-        if c in ("good", "bad"):
-            seen, where = c, i
-    out: list[str] = []
-    seen, where = "bad", n
-    for i in range(n - 1, -1, -1):
-        c = first[i]
-        if c in ("good", "bad"):
-            seen, where = c, i
-        else:
-            (prev, far), (following, near) = before[i], (seen, where - i)
-            if prev == following:
-                c = prev if c == "short" or prev == "good" else "bad"
+    if not any(b.section for b in blocks) and not {"good", "bad"}.intersection(first):  # nothing tells content from the rest
+        return ["good"] * len(blocks)
+    sections: dict[int, list[int]] = {}
+    for i, b in enumerate(blocks):
+        sections.setdefault(b.section, []).append(i)
+    out = list(first)
+    for members in sections.values():
+        edge = "good" if blocks[members[0]].place > 0 else "bad"
+        before: list[tuple[str, int]] = []
+        label, since = edge, 0
+        for i in members:
+            since += 1
+            before.append((label, since))
+            if first[i] in ("good", "bad"):
+                label, since = first[i], 0
+        label, since = edge, 0
+        for i, (previous, far) in zip(reversed(members), reversed(before), strict=True):
+            since += 1
+            if first[i] in ("good", "bad"):
+                label, since = first[i], 0
+            elif previous == label:
+                out[i] = label
+            elif first[i] == "near":
+                out[i] = "good"
             else:
-                c = "good" if c == "near" else (prev if far < near else following if near < far else "bad")
-        if c == "good":
-            out.append(blocks[i].text)
-    return "\n".join(reversed(out))
+                out[i] = previous if far < since else label if since < far else edge
+    return out
+
+
+def main_text(page: str) -> str:
+    blocks = blocks_of(page)
+    return "\n".join(b.text for b, label in zip(blocks, labels(blocks), strict=True) if label == "good")
 
 
 def extract(pages: DataFrame, body: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
