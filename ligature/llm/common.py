@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import new_path, shared_dir, ship, stage  # noqa: F401
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -35,37 +33,6 @@ def in_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(work, schema)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only a local session may go without the setting; it gets a temporary folder.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local":
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="ligature-"))
-        return sc.getCheckpointDir().rstrip("/")
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/ligature/{name}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and return the written table.
-
-    The written table cuts the lineage, survives lost executors, and is read without a schema scan.
-    """
-    spark = df.sparkSession
-    path = path or new_path(spark, name)
-    df.write.option("compression", "zstd").mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def discard(df: DataFrame) -> None:
     """Delete the files of a table that ``stage`` wrote and nothing will read again."""
     spark = df.sparkSession

@@ -14,6 +14,7 @@ import struct
 import threading
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,9 @@ from . import common
 
 LIMIT = 2048
 #: Bytes of pieces that one call of the library encodes.
-BATCH_BYTES = 256_000
+BATCH_BYTES = 64_000
+#: Rare words, of which one that is a single token stands between pieces.
+MARKS = ("■", "►", "✓", "€", "©")
 #: Bytes of text whose pieces are held at a time.
 TEXT_BYTES = 4_000_000
 
@@ -45,21 +48,39 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        ids = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in MARKS}
+        self.mark = next((m for m in MARKS if len(ids[m]) == 1), None)
+        self.mark_id = ids[self.mark][0] if self.mark else -1
         self.lengths = common.WordCache(600_000)
         self.ids = common.WordCache(500_000)
 
-    def _encode(self, pieces: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
-        for i, j in common.byte_slices([len(p) for p in pieces], BATCH_BYTES):
-            part = pieces[i:j]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False), strict=True):
-                yield p, e.ids
+    def _encode(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Each piece with its packed ids. Pieces are encoded side by side, with a word between them that is one token
+        and that none of them holds."""
+        if self.mark is None:
+            apart, joined = pieces, []
+        else:
+            held = self.mark.encode()
+            apart = [p for p in pieces if held in p]
+            joined = [p for p in pieces if held not in p] if apart else pieces
+        for i, j in common.byte_slices([len(p) for p in joined], BATCH_BYTES):
+            part = joined[i:j]
+            text = f" {self.mark} ".join([p.decode() for p in part])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            at = (4 * np.flatnonzero(ids == self.mark_id)).tolist()
+            raw = ids.tobytes()
+            if len(at) != len(part) - 1:
+                raise ValueError("pieces and marks do not agree")
+            yield from zip(part, [raw[x:y] for x, y in zip([0, *[x + 4 for x in at]], [*at, len(raw)], strict=True)], strict=True)
+        for p in apart:
+            yield p, _little(self.tokenizer.encode(p.decode(), add_special_tokens=False).ids)
 
     def count(self, texts: list[bytes]) -> list[int]:
         """The number of tokens of each text."""
         out = []
         for i, j in common.byte_slices([len(t) for t in texts], TEXT_BYTES):
             cut = [_cut(t) for t in texts[i:j]]
-            self._learn(self.lengths, cut, len)
+            self._learn(self.lengths, cut, _number)
             get = self.lengths.__getitem__
             out += [sum(map(get, pieces)) for pieces in cut]
         return out
@@ -69,7 +90,7 @@ class Encoder:
         out = []
         for i, j in common.byte_slices([len(t) for t in texts], TEXT_BYTES):
             cut = [_cut(t) for t in texts[i:j]]
-            self._learn(self.ids, cut, _little)
+            self._learn(self.ids, cut, bytes)
             get = self.ids.__getitem__
             out += [b"".join(map(get, pieces)) for pieces in cut]
         return out
@@ -92,6 +113,10 @@ class Encoder:
 _ENDS = (b".", b",")
 
 
+def _number(packed: bytes) -> int:
+    return len(packed) // 4
+
+
 def _little(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
