@@ -30,6 +30,8 @@ WIDTH = 64
 STRIP = 8192
 TILE = (16, 16)
 
+FEATURES = ("height", "width", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile")
+
 _PNM = re.compile(rb"(?:\s|#[^\n]*\n)*([0-9]+)")
 
 
@@ -78,10 +80,8 @@ def _decode_pnm(data: bytes) -> np.ndarray:
         raise ValueError("short Netpbm raster")
     if kind in (b"P1", b"P4"):
         values = (1 - values) * 255
-    elif top not in (255, 65535):
-        values = values.astype(np.int64) * 255 // max(1, top)
-    elif top == 65535:
-        values = values >> 8
+    elif top != 255:
+        values = np.minimum(values.astype(np.int64), top) * 255 // max(1, top)
     return values.astype(np.uint8, copy=False).reshape((h, w, 3) if depth == 3 else (h, w))
 
 
@@ -102,6 +102,12 @@ def _decode_bmp(data: bytes) -> np.ndarray:
         palette = np.frombuffer(data, np.uint8, count=4 * used, offset=14 + size).reshape(-1, 4)[:, 2::-1]
         index = raw[:, :w]
         out = palette[:, 0][index] if (palette == palette[:, :1]).all() else palette[index]
+    elif packed == 3:  # a mask says which bits hold red, green and blue
+        masks = struct.unpack_from("<III", data, 54)
+        if bits != 32 or not all(masks):
+            raise ValueError("unsupported BMP masks")
+        pixels = raw.view("<u4")[:, :w].astype(np.int64)
+        out = np.stack([((pixels & m) >> (m & -m).bit_length() - 1) * 255 // (m // (m & -m)) for m in masks], axis=2).astype(np.uint8)
     else:
         out = raw[:, : w * bits // 8].reshape(h, w, bits // 8)[:, :, 2::-1]
     return np.ascontiguousarray(out[::-1] if upside else out)
@@ -162,9 +168,15 @@ def npy_tile(image: np.ndarray, shape: tuple[int, int] = TILE) -> bytes:
     return out.getvalue()
 
 
+def read_tile(data: bytes) -> np.ndarray:
+    return np.load(io.BytesIO(data), allow_pickle=False)
+
+
 def features(df: DataFrame, media: str = "media", keep: tuple[str, ...] = ("doc_id",), shape: tuple[int, int] = TILE) -> DataFrame:
     """``keep`` columns, then height, width, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256,
-    feature (difference hash) and tile (NPY bytes) of each image. Null or undecodable images: nulls."""
+    feature (difference hash) and tile (NPY bytes) of each image. Null or undecodable images: nulls. A kept column with
+    one of these names is replaced."""
+    keep = tuple(c for c in keep if c not in FEATURES)
     kept = df.select(*keep)
     schema = kept.schema.simpleString()[7:-1] + ", height int, width int, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary"
 
@@ -181,12 +193,11 @@ def features(df: DataFrame, media: str = "media", keep: tuple[str, ...] = ("doc_
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
-        names = ["height", "width", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile"]
         for batch in batches:
             values = batch.column(batch.num_columns - 1)
             rows = [one(x.as_py()) for x in values]
             made = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + made, [*batch.schema.names[:-1], *names])
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + made, [*batch.schema.names[:-1], *FEATURES])
 
     return common.in_arrow(df.select(*keep, F.col(media).alias("__media")), work, schema)
 
@@ -212,7 +223,22 @@ def images_of_texts(df: DataFrame, text: str = "text", key: str = "doc_id") -> D
     return common.in_arrow(source, work, schema)
 
 
+def tile_facts(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """``keep`` columns, tile_shape and tile_mean of each stored NPY tile. Null tiles: nulls."""
+    schema = df.select(*keep).schema.simpleString()[7:-1] + ", tile_shape string, tile_mean double"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tiles = [None if x is None else read_tile(x) for x in batch.column(batch.num_columns - 1).to_pylist()]
+            shapes = [None if t is None else "x".join(map(str, t.shape)) for t in tiles]
+            means = [None if t is None else float(t.mean()) for t in tiles]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(shapes, pa.string()), pa.array(means, pa.float64())], [*batch.schema.names[:-1], "tile_shape", "tile_mean"])
+
+    return common.in_arrow(df.select(*keep, F.col("tile").alias("__tile")), work, schema)
+
+
 def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images are written and read again, and so are what is computed from them and their tiles."""
     stored = common.stage(images_of_texts(common.table(spark, sf_dir, "documents")), "media")
-    out = features(stored, keep=("doc_id", "n_bytes"))
-    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", F.crc32("tile").alias("tile_crc32"))
+    found = common.stage(features(stored, keep=("doc_id", "n_bytes")).drop("height", "width"), "tiles")
+    return tile_facts(found, tuple(c for c in found.columns if c != "tile"))
