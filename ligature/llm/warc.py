@@ -6,7 +6,10 @@ verified against its digest. ``write_files`` lays the records out as plain WARC
 
 Equal payloads of at least ``least`` bytes become one response record and revisit records that refer to it.
 
-Defined results: null bodies count as empty; smaller payloads are all responses; rows with a null id are responses
+``parse`` takes records apart again: every field of the header, and the block by its Content-Length.
+
+Defined results: null bodies count as empty; line ends in a URL are percent-encoded; a null URL has no header line;
+rows with one id share a record id; smaller payloads are all responses; rows with a null id are responses
 only where no other row has their payload; repeated rows that share the smallest id of a payload are all responses.
 """
 
@@ -32,7 +35,7 @@ def _header(kind: Column, digest: Column, length: Column, refers_to: Column, dat
         line("WARC-Type", kind),
         line("WARC-Record-ID", _uri(F.col("__id"))),
         line("WARC-Date", F.lit(date)),
-        F.coalesce(line("WARC-Target-URI", F.regexp_replace("__url", r"[\r\n]+", " ")), F.lit("")),
+        F.coalesce(line("WARC-Target-URI", F.replace(F.replace(F.col("__url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), digest)),
         F.when(kind == "revisit", F.concat(line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), line("WARC-Refers-To", _uri(refers_to)))).otherwise(F.lit("")),
         line("Content-Type", F.lit("text/html")),
@@ -68,23 +71,36 @@ def write_archive(pages: DataFrame, key: str = "page_id", url: str = "url", body
     return common.stage(headers, "headers", f"{base}/headers"), payloads
 
 
+def _field(name: str, value: str = r"([^\r]*)", header: str = "header") -> Column:
+    """The value of a header line; null if there is none."""
+    found = F.regexp_extract(header, rf"\n{name}: {value}\r\n", 1)
+    return F.when(F.col(header).contains(f"\n{name}: "), found)
+
+
 def read_archive(headers: DataFrame, payloads: DataFrame, key: str = "page_id") -> DataFrame:
-    """(key, record_type, refers_to, digest, record, payload): ``record`` is the exact record, header and block; the
-    payload of a revisit is that of the record it refers to. A payload that does not match its digest is an error."""
-    field = lambda name: F.regexp_extract("header", rf"\n{name}: ([^\r]*)\r\n", 1)
-    found = headers.select(key, "header", F.regexp_extract("header", r"\nWARC-Payload-Digest: sha256:(\w+)\r\n", 1).alias("digest")).join(payloads, "digest", "left")
+    """(key, record, payload): ``record`` is the exact record, header and block; the payload of a revisit is that of the
+    record it refers to. A payload that does not match its digest is an error."""
+    found = headers.select(key, "header", _field("WARC-Payload-Digest", r"sha256:(\w+)").alias("digest")).join(payloads, "digest", "left")
     sound = F.sha2("payload", 256) == F.col("digest")
     checked = found.withColumn("payload", F.when(sound, F.col("payload")).otherwise(F.raise_error(F.concat(F.lit("payload missing or damaged: "), F.col("digest"))).cast("binary")))
-    kind = field("WARC-Type")
-    block = F.when(kind == "response", F.col("payload")).otherwise(F.encode(F.lit(""), "UTF-8"))
-    return checked.select(
-        key,
-        kind.alias("record_type"),
-        F.when(kind == "revisit", F.regexp_extract("header", r"\nWARC-Refers-To: <urn:page:([^\r]*)>\r\n", 1)).alias("refers_to"),
-        "digest",
-        F.concat(F.encode("header", "UTF-8"), block, F.encode(F.lit(_CRLF * 2), "UTF-8")).alias("record"),
-        "payload",
-    )
+    block = F.when(_field("WARC-Type") == "response", F.col("payload")).otherwise(F.encode(F.lit(""), "UTF-8"))
+    return checked.select(key, F.concat(F.encode("header", "UTF-8"), block, F.encode(F.lit(_CRLF * 2), "UTF-8")).alias("record"), "payload")
+
+
+def parse(records: DataFrame, record: str = "record") -> DataFrame:
+    """Adds record_id, record_type, refers_to (the id), digest, uri, length and block to a table of records, all from
+    the records' bytes. A record whose block is not as long as its header says, or a response whose block does not
+    match its digest, is an error."""
+    end = F.instr(F.col(record), _CRLF * 2)  # of bytes: the record is binary
+    header = F.decode(F.substring(F.col(record), F.lit(1), end + 1), "UTF-8")
+    cut = records.withColumn("__header", header).withColumn("__body", F.substring(F.col(record), end + 4, F.octet_length(record)))
+    field = lambda name, value=r"([^\r]*)": _field(name, value, "__header")
+    kept = cut.withColumn("length", field("Content-Length").cast("long"))
+    kept = kept.withColumns({"record_id": field("WARC-Record-ID", "<urn:page:([^\r]*)>"), "record_type": field("WARC-Type"), "refers_to": field("WARC-Refers-To", "<urn:page:([^\r]*)>"), "digest": field("WARC-Payload-Digest", r"sha256:(\w+)"), "uri": field("WARC-Target-URI")})
+    kept = kept.withColumn("block", F.substring(F.col("__body"), F.lit(1), F.col("length").cast("int")))
+    whole = F.octet_length("__body") == F.col("length") + 4
+    sound = whole & ((F.col("record_type") != "response") | (F.sha2("block", 256) == F.col("digest")))
+    return kept.withColumn("block", F.when(sound, F.col("block")).otherwise(F.raise_error(F.concat(F.lit("damaged record: "), F.col("record_id"))).cast("binary"))).drop("__header", "__body")
 
 
 def write_files(records: DataFrame, path: str, compression: str = "gzip", rows_per_file: int = 100_000) -> None:
@@ -95,10 +111,12 @@ def write_files(records: DataFrame, path: str, compression: str = "gzip", rows_p
 
 
 def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the reconstructed records say when they are taken apart; a revisit's payload is that of its response."""
     pages = common.table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    records = read_archive(*write_archive(pages))
+    records = parse(read_archive(*write_archive(pages)))
     kind = pages.schema["page_id"].dataType
-    return records.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"), "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+    payload = F.when(F.col("record_type") == "response", F.col("block")).otherwise(F.col("payload"))
+    return records.select("page_id", F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_digest"), "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
 
 
 OP5_SQL = """
