@@ -52,7 +52,7 @@ class Encoder:
         self.mark = next((m for m in MARKS if len(ids[m]) == 1), None)
         self.mark_id = ids[self.mark][0] if self.mark else -1
         self.lengths = common.WordCache(600_000)
-        self.ids = common.WordCache(500_000)
+        self.ids = common.WordCache(700_000)
 
     def _encode(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """Each piece with its packed ids. Pieces are encoded side by side, with a word between them that is one token
