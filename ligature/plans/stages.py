@@ -46,11 +46,8 @@ def written_lists(spark, d):
     path = new_path(spark, "lists")
     sinks.write_lists(sinks.result_lists(T.candidate_table(norm).withColumn("rank", -F.col("emb_score")), s1), path, ("source1_entity_id", "candidate_entity_ids"))
     back = records.load_tsv(spark, path, records.T.StructType([records.T.StructField(c, records.T.StringType()) for c in ("source1_entity_id", "candidate_entity_ids")]))
-    read = back.withColumn("at", F.monotonically_increasing_id())  # files and lines in order
-    from pyspark.sql import Window as W
-
     ids = F.col("candidate_entity_ids")
-    return read.select(ids.alias("ids"), F.when(ids == "", 0).otherwise(F.size(F.split(ids, ","))).cast("long").alias("n"), F.row_number().over(W.orderBy("at")).alias("ord"))
+    return records.numbered(back, "ord").select(ids.alias("ids"), F.when(ids == "", 0).otherwise(F.size(F.split(ids, ","))).cast("long").alias("n"), "ord")
 
 
 @query("SELECT s1_id, cand_id, prob, CASE WHEN CAST(substr(s1_id, 4) AS BIGINT) % 4 = 0 THEN prob / 2 ELSE -1 END AS ce_prob FROM prob")

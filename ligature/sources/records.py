@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +19,20 @@ def load_tsv(spark: SparkSession, path: str, schema: T.StructType = RECORD) -> D
     return df.fillna("")
 
 
+def numbered(lines: DataFrame, out: str) -> DataFrame:
+    """Adds ``out``: the number from 1 of each line of a table of text files, files by path and lines as they stand.
+
+    Spark puts files together by size, so only places within a split stand for order: lines are numbered there, and the
+    splits before them, one row each, are counted.
+    """
+    split = ["__file", "__start"]
+    placed = lines.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__at"))
+    sizes = placed.groupBy(*split).agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.select(*split, (F.sum("__n").over(W.orderBy(*split)) - F.col("__n")).alias("__before"))
+    rows = placed.join(before, split).withColumn(out, F.row_number().over(W.partitionBy(*split).orderBy("__at")) + F.col("__before"))
+    return rows.drop(*split, "__at", "__before")
+
+
 def cached(spark: SparkSession, path: str, schema: T.StructType = RECORD) -> DataFrame:
     """A tab-separated table as Parquet: converted once for each state of its files, then read from there."""
     state = version(spark.read.text(path))

@@ -106,3 +106,18 @@ def test_stages_resume(spark):
 def test_settings_files(spark, tmp_path):
     sinks.write_json(spark, {"t_top1": 0.3, "names": ["a", "é"]}, str(tmp_path / "s"))
     assert sinks.read_json(spark, str(tmp_path / "s")) == {"t_top1": 0.3, "names": ["a", "é"]}
+
+
+def test_lines_are_numbered_in_the_order_of_their_files(spark, tmp_path):
+    """Spark reads the largest files first; the numbers must follow the files' names and lines all the same."""
+    at, lines = 0, []
+    for i, n in enumerate((3, 400, 1, 90, 0, 250)):
+        (tmp_path / f"part-{i:05d}.csv").write_text("x\n" + "".join(f"{at + k}\n" for k in range(n)))
+        at += n
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        back = records.load_tsv(spark, str(tmp_path), records.T.StructType([records.T.StructField("x", records.T.StringType())]))
+        lines = records.numbered(back, "ord").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(lines) == at and all(int(r["x"]) + 1 == r["ord"] for r in lines)
