@@ -15,8 +15,9 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def normalized(v: Column, least: float = 1e-6) -> Column:
-    norm = F.sqrt(dot(v, v))
-    return F.transform(v, lambda x: x.cast("double") / F.greatest(norm, F.lit(least)))
+    """Vector and norm are bound once: an expression inside a lambda is evaluated anew for each element."""
+    bound = lambda x, f: F.transform(F.array(x), f)[0]
+    return bound(v, lambda w: bound(F.greatest(F.sqrt(dot(w, w)), F.lit(least)), lambda n: F.transform(w, lambda x: x.cast("double") / n)))
 
 
 def hashed_ngrams(text: Column, size: int = 64, n: int = 3) -> Column:
