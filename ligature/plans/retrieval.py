@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import addresses, constants, names, vectors
@@ -161,17 +164,22 @@ def wide_rerank(spark, d):
     return topk.wide_rerank(wide, tokens, present)
 
 
-def _postings(spark, d):
+def _documents(spark, d):
     norm = T.normalized(spark, d)
-    docs = norm.select("country", F.col("entity_id").alias("id"), "source", F.concat_ws(" ", "name_full", "name_skel").alias("text"))
-    counts = tfidf.term_counts(docs)
-    vocab = tfidf.vocabulary(counts, docs)
-    return docs, vocab, tfidf.weights(counts, vocab).join(docs.select("id", "source"), "id")
+    return norm.select("country", F.col("entity_id").alias("id"), "source", F.concat_ws(" ", "name_full", "name_skel").alias("text"))
+
+
+def _text_topk(spark, d, asked: str, k: int, pools: tuple[str, ...]):
+    """The ``k`` best for each of the documents ``asked``, of each of the pools."""
+    docs = _documents(spark, d)
+    made = stage(tfidf.fitted(docs)[1], "weights")
+    parts = [tfidf.text_topk(docs.where(asked), docs.where(p), made, k) for p in pools]
+    return functools.reduce(DataFrame.unionByName, parts).drop("country").withColumn("score", T.rounded(F.col("score")))
 
 
 @query("SELECT country, term, CAST(total AS BIGINT) AS total, df, round(idf, 6) AS idf FROM vocab")
 def tfidf_vocab(spark, d):
-    return _postings(spark, d)[1].drop("t").withColumn("idf", T.rounded(F.col("idf")))
+    return tfidf.fitted(_documents(spark, d))[0].drop("t").withColumn("idf", T.rounded(F.col("idf")))
 
 
 @query("SELECT country, term, CAST(total AS BIGINT) AS total, df, round(idf, 6) AS idf FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY total DESC, term) AS rn FROM vocab) WHERE rn <= 50")
@@ -184,7 +192,8 @@ def tfidf_vocab_limit(spark, d):
 
 @query("SELECT country, id, term, round(w, 6) AS w FROM wts")
 def tfidf_weights(spark, d):
-    return _postings(spark, d)[2].select("country", "id", "term", T.rounded(F.col("w")).alias("w"))
+    docs = _documents(spark, d)
+    return tfidf.postings(docs, tfidf.fitted(docs)[1]).select("country", "id", "term", T.rounded(F.col("w")).alias("w"))
 
 
 _TF = """SELECT q, p, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(score, 9) DESC, p) AS rank FROM
@@ -193,14 +202,12 @@ _TF = """SELECT q, p, round(score, 6) AS score, rank FROM (SELECT *, row_number(
 
 @query(_TF.format(on="a.source = 1 AND b.source = 2", k=10))
 def tfidf_topk(spark, d):
-    w = _postings(spark, d)[2]
-    return tfidf.topk(w.where("source = 1"), w.where("source = 2"), 10).drop("country").withColumn("score", T.rounded(F.col("score")))
+    return _text_topk(spark, d, "source = 1", 10, ("source = 2",))
 
 
 @query(_TF.format(on="a.source = 2 AND b.source = 1", k=5))
 def tfidf_topk_reverse(spark, d):
-    w = _postings(spark, d)[2]
-    return tfidf.topk(w.where("source = 2"), w.where("source = 1"), 5).drop("country").withColumn("score", T.rounded(F.col("score")))
+    return _text_topk(spark, d, "source = 2", 5, ("source = 1",))
 
 
 _TF_WHOLE = """SELECT q, p, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY q, src ORDER BY round(score, 9) DESC, p) AS rank FROM
@@ -210,17 +217,13 @@ _TF_WHOLE = """SELECT q, p, round(score, 6) AS score, rank FROM (SELECT *, row_n
 @query(_TF_WHOLE.format(on="a.source = 1 AND b.source > 1", k=10))
 def tfidf_topk_pool(spark, d):
     """As ``tfidf_topk``, in each source of the pool."""
-    w = stage(_postings(spark, d)[2], "postings")
-    q = w.where("source = 1")
-    found = tfidf.topk(q, w.where("source = 2"), 10).unionByName(tfidf.topk(q, w.where("source = 3"), 10))
-    return found.drop("country").withColumn("score", T.rounded(F.col("score")))
+    return _text_topk(spark, d, "source = 1", 10, ("source = 2", "source = 3"))
 
 
 @query(_TF_WHOLE.format(on="a.source > 1 AND b.source = 1", k=5))
 def tfidf_topk_pool_reverse(spark, d):
     """As ``tfidf_topk_reverse``, for the records of all sources of the pool."""
-    w = stage(_postings(spark, d)[2], "postings")
-    return tfidf.topk(w.where("source > 1"), w.where("source = 1"), 5).drop("country").withColumn("score", T.rounded(F.col("score")))
+    return _text_topk(spark, d, "source > 1", 5, ("source = 1",))
 
 
 _LEARN = """SELECT src, dst, n, share FROM (SELECT src, dst, n, n / sum(n) OVER (PARTITION BY src) AS share, row_number() OVER (PARTITION BY src ORDER BY n DESC, dst) AS rn FROM

@@ -121,3 +121,42 @@ def test_lines_are_numbered_in_the_order_of_their_files(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert len(lines) == at and all(int(r["x"]) + 1 == r["ord"] for r in lines)
+
+
+def test_tfidf_of_equal_texts_is_made_once(spark):
+    """Copies on both sides: the same neighbours as from the postings of all documents, and one vector a text."""
+    words = ["amber", "birch", "cedar", "dune", "ember"]
+    rows = [("x" if i % 7 else "y", f"{i:03d}", f"{words[i % 5]} {words[i % 3]}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "country string, id string, text string")
+    vocab, made = tfidf.fitted(docs)
+    counts = tfidf.term_counts(docs)
+    plain = tfidf.weights(counts, tfidf.vocabulary(counts, docs))
+    key = lambda df: sorted((r["country"], r["id"], r["term"], round(r["w"], 9)) for r in df.collect())
+    assert key(tfidf.postings(docs, made)) == key(plain)
+    assert made.count() == docs.select("country", "text").distinct().count() < 120
+    assert {(r["country"], r["term"], r["total"], r["df"]) for r in vocab.collect()} == {(r["country"], r["term"], r["total"], r["df"]) for r in tfidf.vocabulary(counts, docs).collect()}
+    q, p = docs.where("id < '060'"), docs.where("id >= '060'")
+    top = lambda df: sorted((r["q"], r["p"], r["rank"], round(r["score"], 9)) for r in df.collect())
+    assert top(tfidf.text_topk(q, p, made, 4)) == top(tfidf.topk(plain.where("id < '060'"), plain.where("id >= '060'"), 4))
+
+
+def test_large_vocabulary_is_not_broadcast(spark, tmp_path):
+    """A table that is small on disk only: its documents and vocabulary must not go through the driver."""
+    spark.range(50_000).selectExpr("'x' AS country", "cast(id AS string) AS id", "'amber birch' AS text").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        posts = tfidf.postings(docs, tfidf.fitted(docs)[1])
+        plan = posts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") >= 3 and plan.count("BroadcastHashJoin") <= 1  # the number of documents of a block
+
+
+def test_norm_is_bound_once(spark):
+    """The text is read once for each letter, not once for each pair of letters."""
+    from ligature.functions import vectors
+
+    df = spark.createDataFrame([("amber",)], "t string").select(vectors.letter_counts(F.col("t")).alias("v"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("replace(") == 1
+    assert abs(sum(x * x for x in df.first()["v"]) - 1) < 1e-12
