@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -63,14 +65,30 @@ def worst_errors(scored: DataFrame, pred: DataFrame, gold: DataFrame, n: int = 3
     return top(false).unionByName(top(miss))
 
 
+def _missed(cands: DataFrame, gold: DataFrame) -> DataFrame:
+    return gold.select("s1_id", "cand_id").join(cands.select("s1_id", "cand_id").hint("merge"), ["s1_id", "cand_id"], "left_anti")
+
+
+def _key_lists(keys: dict[str, DataFrame]) -> DataFrame:
+    """(entity_id, one array for each kind): the keys of a record, which are as few as its own words and numbers."""
+    long = reduce(DataFrame.unionByName, [k.select("entity_id", F.lit(i).alias("i"), "key") for i, k in enumerate(keys.values())])
+    return long.groupBy("entity_id").agg(*[F.collect_set(F.when(F.col("i") == i, F.col("key"))).alias(name) for i, name in enumerate(keys)])
+
+
+def _beside(pairs: DataFrame, records: DataFrame, how: str = "inner") -> DataFrame:
+    """Both records' columns beside each pair: ``a_*`` and ``b_*``. Records are joined by sorting: written, they are far
+    smaller than in the driver's memory."""
+    side = lambda p, key: records.select(F.col("entity_id").alias(key), *[F.col(c).alias(f"{p}_{c}") for c in records.columns if c != "entity_id"]).hint("merge")
+    return pairs.join(side("a", "s1_id"), "s1_id", how).join(side("b", "cand_id"), "cand_id", how)
+
+
+def _shares(name: str) -> Column:
+    return F.coalesce(F.arrays_overlap(f"a_{name}", f"b_{name}"), F.lit(False)).cast("int").alias(name)
+
+
 def miss_report(cands: DataFrame, gold: DataFrame, keys: dict[str, DataFrame]) -> DataFrame:
     """Per gold pair that is no candidate: which keys both sides share, whatever the block's size."""
-    out = gold.select("s1_id", "cand_id").join(cands.select("s1_id", "cand_id"), ["s1_id", "cand_id"], "left_anti")
-    for name, k in keys.items():
-        a, b = k.select(F.col("entity_id").alias("s1_id"), "key"), k.select(F.col("entity_id").alias("cand_id"), "key")
-        shared = out.select("s1_id", "cand_id").join(a, "s1_id").join(b, ["cand_id", "key"]).select("s1_id", "cand_id").distinct().withColumn(name, F.lit(1))
-        out = out.join(shared, ["s1_id", "cand_id"], "left").fillna(0, [name])
-    return out
+    return _beside(_missed(cands, gold), _key_lists(keys), "left").select("s1_id", "cand_id", *[_shares(k) for k in keys])
 
 
 def block_distribution(sizes: DataFrame, cap: int = 50) -> DataFrame:
@@ -156,13 +174,12 @@ def slice_details(scored: DataFrame, pred: DataFrame, gold: DataFrame, s1: DataF
 def miss_analysis(cands: DataFrame, gold: DataFrame, records: DataFrame, keys: dict[str, DataFrame], nth: int = 20) -> DataFrame:
     """Gold pairs that are no candidates: which keys both sides share, Jaccard similarities of their names and addresses,
     and the score of the S1's ``nth`` best candidate (null if it has fewer)."""
-    out = miss_report(cands, gold, keys)
     w = W.partitionBy("s1_id").orderBy(F.desc("emb_score"), "cand_id")
     last = cands.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == nth).select("s1_id", F.col("emb_score").alias("nth_score"))
-    r = records.select("entity_id", F.split("name_full", " ").alias("n"), "addr_tokens")
-    both = out.join(r.toDF("s1_id", "na", "aa"), "s1_id").join(r.toDF("cand_id", "nb", "ab"), "cand_id").join(last, "s1_id", "left")
-    share = lambda a, b: F.round(F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)), 6)
-    return both.select("s1_id", "cand_id", *keys, share("na", "nb").alias("name_jaccard"), share("aa", "ab").alias("addr_jaccard"), "nth_score")
+    r = records.select("entity_id", F.split("name_full", " ").alias("__n"), F.col("addr_tokens").alias("__a")).join(_key_lists(keys).hint("merge"), "entity_id", "left")
+    both = _beside(_missed(cands, gold), r).join(last.hint("merge"), "s1_id", "left")
+    share = lambda c: F.round(F.size(F.array_intersect(f"a_{c}", f"b_{c}")) / F.size(F.array_union(f"a_{c}", f"b_{c}")), 6)
+    return both.select("s1_id", "cand_id", *[_shares(k) for k in keys], share("__n").alias("name_jaccard"), share("__a").alias("addr_jaccard"), "nth_score")
 
 
 def misses_sample(misses: DataFrame, n: int = 50) -> DataFrame:

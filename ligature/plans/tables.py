@@ -53,7 +53,7 @@ def gold(norm: DataFrame) -> DataFrame:
     """Pairs with equal country, name and house number."""
     side = lambda key: norm.select(F.col("entity_id").alias(key), "source", "country", "name_full", "house_no")
     a, b = side("s1_id").where("source = 1").drop("source"), side("cand_id").where("source > 1")
-    return a.join(b, ["country", "name_full", "house_no"]).select("s1_id", "cand_id", (F.col("source") - 2).alias("cand_source"), "country")
+    return a.join(b.hint("merge"), ["country", "name_full", "house_no"]).select("s1_id", "cand_id", (F.col("source") - 2).alias("cand_source"), "country")
 
 
 def s1_of(norm: DataFrame) -> DataFrame:
@@ -63,7 +63,7 @@ def s1_of(norm: DataFrame) -> DataFrame:
 def token_score(pairs: DataFrame, norm: DataFrame) -> DataFrame:
     """``emb_score`` of pairs: Jaccard of all name and address tokens, in place of an encoder's cosine."""
     toks = norm.select("entity_id", F.concat(F.split("name_full", " "), F.col("addr_tokens")).alias("t"))
-    both = pairs.join(toks.toDF("s1_id", "__a"), "s1_id").join(toks.toDF("cand_id", "__b"), "cand_id")
+    both = pairs.join(toks.toDF("s1_id", "__a").hint("merge"), "s1_id").join(toks.toDF("cand_id", "__b").hint("merge"), "cand_id")
     return both.withColumn("emb_score", rounded(features.jaccard(F.col("__a"), F.col("__b"), F.lit(0.0)))).drop("__a", "__b")
 
 

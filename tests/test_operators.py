@@ -160,3 +160,22 @@ def test_norm_is_bound_once(spark):
     df = spark.createDataFrame([("amber",)], "t string").select(vectors.letter_counts(F.col("t")).alias("v"))
     assert df._jdf.queryExecution().optimizedPlan().toString().count("replace(") == 1
     assert abs(sum(x * x for x in df.first()["v"]) - 1) < 1e-12
+
+
+def test_misses_are_read_in_one_pass(spark, tmp_path):
+    """Records that are small on disk only must not go through the driver; the plan reads the gold pairs once."""
+    from ligature.operators import metrics
+
+    rows = spark.range(6).selectExpr("concat('S', 1 + id % 2, '-', id) AS entity_id", "cast(1 + id % 2 AS int) AS source", "concat('k', id div 2) AS key", "'a b' AS name_full", "array('x', 'y') AS addr_tokens")
+    rows.write.parquet(str(tmp_path / "r"))
+    norm = spark.read.parquet(str(tmp_path / "r"))
+    spark.createDataFrame([("S1-0", "S2-1"), ("S1-2", "S2-1"), ("S1-4", "S2-5")], "s1_id string, cand_id string").write.parquet(str(tmp_path / "g"))
+    gold = spark.read.parquet(str(tmp_path / "g"))
+    cands = spark.createDataFrame([("S1-4", "S2-5", 0.5)], "s1_id string, cand_id string, emb_score double")
+    keys = {"k1": norm.select("entity_id", "source", "key"), "k2": norm.select("entity_id", "source", F.lit("same").alias("key")), "k3": norm.where("false").select("entity_id", "source", "key")}
+    made = metrics.miss_analysis(cands, gold, norm, keys, 1)
+    assert sorted(map(tuple, made.collect())) == [("S1-0", "S2-1", 1, 1, 0, 1.0, 1.0, None), ("S1-2", "S2-1", 0, 1, 0, 1.0, 1.0, None)]
+    assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString() and len(made.columns) == 8
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1
+    assert sorted(map(tuple, metrics.miss_report(cands, gold, keys).collect())) == [("S1-0", "S2-1", 1, 1, 0), ("S1-2", "S2-1", 0, 1, 0)]
