@@ -174,7 +174,7 @@ def _text_topk(spark, d, asked: str, k: int, pools: tuple[str, ...]):
     docs = _documents(spark, d)
     made = stage(tfidf.fitted(docs)[1], "weights")
     parts = [tfidf.text_topk(docs.where(asked), docs.where(p), made, k) for p in pools]
-    return functools.reduce(DataFrame.unionByName, parts).drop("country").withColumn("score", T.rounded(F.col("score")))
+    return functools.reduce(DataFrame.unionByName, parts).withColumn("score", T.rounded(F.col("score")))
 
 
 @query("SELECT country, term, CAST(total AS BIGINT) AS total, df, round(idf, 6) AS idf FROM vocab")

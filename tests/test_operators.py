@@ -179,3 +179,33 @@ def test_misses_are_read_in_one_pass(spark, tmp_path):
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LeftAnti") == 1
     assert sorted(map(tuple, metrics.miss_report(cands, gold, keys).collect())) == [("S1-0", "S2-1", 1, 1, 0), ("S1-2", "S2-1", 0, 1, 0)]
+
+
+def test_copies_are_asked_once(spark):
+    """Copies in two blocks, ids in both: the same rows as asking every query, and one query of each text."""
+    from ligature.operators import tiles
+
+    rows = [(b, f"{i:02d}", f"t{i % 3}", [float(i % 3 + 1), float(b == "x")]) for b in "xy" for i in range(24)]
+    df = spark.createDataFrame(rows, "country string, id string, text string, v array<double>")
+    q, p = df.where("id < '12'"), df.where("id >= '12'")
+    asked = []
+
+    def find(a, b):
+        asked.append((a.count(), b.count()))
+        made = [topk.dense_topk(a.where(F.col("country") == c), b.where(F.col("country") == c), 2).withColumn("country", F.lit(c)) for c in "xy"]
+        return made[0].unionByName(made[1])
+
+    top = lambda rows: sorted((r["q"], r["p"], r["rank"], round(r["score"], 9)) for r in rows)
+    assert top(tiles.once(q, p, 2, "country", "text", find).collect()) == top(find(q, p).collect())
+    assert asked == [(6, 12), (24, 24)]
+
+
+def test_reranking_reads_tokens_once(spark):
+    """Tokens stay lists of their record, so a pair is one row."""
+    tokens = spark.createDataFrame([("a", "c", "5"), ("a", "c", "main"), ("b", "c", "5"), ("b", "c", "main"), ("d", "c", "5"), ("e", "c", "oak")], "id string, country string, token string")
+    wide = spark.createDataFrame([("a", "b", 0.1), ("a", "d", 0.9), ("a", "e", 0.5), ("a", "x", 0.4)], "q string, p string, score double")
+    none = spark.createDataFrame([], "q string, p string")
+    made = topk.wide_rerank(wide, tokens, none)
+    assert [r["p"] for r in sorted(made.collect(), key=lambda r: -r["f_score"])] == ["b", "d"]
+    assert {r["p"]: r["f_score"] > 0 for r in topk.wide_rerank(wide, tokens, none, keep_unshared=True).collect()} == {"b": True, "d": True, "e": False, "x": False}
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 1  # the wide pairs are read once
