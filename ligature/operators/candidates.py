@@ -35,7 +35,7 @@ def cap(cands: DataFrame, symbolic: list[str], n: int = 40) -> DataFrame:
 
 
 def label(cands: DataFrame, gold: DataFrame) -> DataFrame:
-    return cands.join(gold.select(*KEY, F.lit(1).alias("label")), KEY, "left").fillna(0, ["label"])
+    return cands.join(gold.select(*KEY, F.lit(1).alias("label")).hint("merge"), KEY, "left").fillna(0, ["label"])
 
 
 def add_absent(cands: DataFrame, found: DataFrame, n: int, *order: Column) -> DataFrame:

@@ -185,7 +185,7 @@ def _stacked(spark, d):
     def build():
         norm = T.normalized(spark, d)
         made = features.with_external(features.stack_features(T.scored(norm), norm), T.scored(norm).select("s1_id", "cand_id", F.col("prob").alias("ce_prob")))
-        rows = _rows(candidates.label(made, T.gold(norm))).withColumn("is_competitor", (F.col("part") == 3).cast("int"))
+        rows = stage(_rows(candidates.label(made, T.gold(norm))).withColumn("is_competitor", (F.col("part") == 3).cast("int")), "stack-rows")  # trees read their rows many times
         return models.cross_fit(rows, [*features.STACK, "ce_prob"], (F.col("part") % 2), first="prob").drop("features")
 
     return T.held(spark, "stacked", d, build)

@@ -209,3 +209,14 @@ def test_reranking_reads_tokens_once(spark):
     assert [r["p"] for r in sorted(made.collect(), key=lambda r: -r["f_score"])] == ["b", "d"]
     assert {r["p"]: r["f_score"] > 0 for r in topk.wide_rerank(wide, tokens, none, keep_unshared=True).collect()} == {"b": True, "d": True, "e": False, "x": False}
     assert made._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 1  # the wide pairs are read once
+
+
+def test_records_beside_pairs_are_not_broadcast(spark, tmp_path):
+    """Repeated records are small on disk only: pairs and records are joined by sorting."""
+    from ligature.operators import features as ft
+
+    spark.range(1000).selectExpr("concat('S', 1 + id % 2, '-', id) AS entity_id", "cast(1 + id % 2 AS int) AS source", "'a b' AS name_full", "'x' AS addr_norm", "'1' AS house_no", "array('1') AS num_tokens", "'US' AS country").write.parquet(str(tmp_path / "r"))
+    norm = spark.read.parquet(str(tmp_path / "r"))
+    scored = spark.createDataFrame([("S1-0", "S2-1", 0.9, 0.5), ("S1-0", "S2-3", 0.8, 0.5)], "s1_id string, cand_id string, prob double, emb_score double")
+    for made in (ft.with_records(scored, norm), ft.stack_features(scored, norm), candidates.label(scored, norm.selectExpr("entity_id AS s1_id", "entity_id AS cand_id"))):
+        assert "BroadcastHashJoin" not in made._jdf.queryExecution().executedPlan().toString() and made.count() == 2
