@@ -220,3 +220,80 @@ def test_records_beside_pairs_are_not_broadcast(spark, tmp_path):
     scored = spark.createDataFrame([("S1-0", "S2-1", 0.9, 0.5), ("S1-0", "S2-3", 0.8, 0.5)], "s1_id string, cand_id string, prob double, emb_score double")
     for made in (ft.with_records(scored, norm), ft.stack_features(scored, norm), candidates.label(scored, norm.selectExpr("entity_id AS s1_id", "entity_id AS cand_id"))):
         assert "BroadcastHashJoin" not in made._jdf.queryExecution().executedPlan().toString() and made.count() == 2
+
+
+def test_lists_are_reranked_as_their_rows_are(spark):
+    """Lists of names, which meet their queries as matrices, against the rows of each query."""
+    from pyspark.sql import functions as F
+
+    from ligature.operators import topk
+
+    rows = [(f"S1-{i}", "A", f"n{i % 3}", [f"t{j}" for j in range(12) if (i * 7 + j) % 5 < 2]) for i in range(40)]
+    pool = [(f"S2-{i}", [f"t{j}" for j in range(12) if (i * 5 + j) % 4 == 0 and i % 9]) for i in range(60)]
+    found = [("A", f"n{n}", 2, [(f"S2-{i}", round(1 - ((i * 11 + n) % 30) / 100, 6)) for i in range(60) if (i + n) % 2]) for n in range(3)]
+    tokens = spark.createDataFrame([(r[0], "A", t) for r in rows for t in r[3]] + [(p, "A", t) for p, ts in pool for t in ts], "id string, country string, token string")
+    queries = spark.createDataFrame([r[:3] for r in rows], "id string, country string, text string").select("country", "text", "id")
+    lists = spark.createDataFrame(found, "country string, text string, source int, x array<struct<p: string, score: double>>")
+    present = spark.createDataFrame([(f"S1-{i}", f"S2-{(i * k) % 60}") for i in range(0, 40, 2) for k in (1, 3)], "q string, p string").distinct()
+    wide = queries.join(lists, ["country", "text"]).select(F.col("id").alias("q"), F.explode("x").alias("x")).select("q", "x.*")
+    want = topk.wide_rerank(wide, tokens, present, 10, keep_unshared=True)
+    got = topk.list_rerank(queries, lists, tokens, present, 10)
+    plain = lambda df: sorted((r["q"], r["p"], round(r["f_score"], 6)) for r in df.collect())
+    assert plain(got) == plain(want) and len(plain(got)) == 400
+
+
+def test_small_inputs_are_dealt_to_all_tasks(spark):
+    from ligature.plans import tables
+
+    made = tables.normalizing(spark, "/root/testdata/sf0.001", market=True)
+    assert made.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_products_of_vectors(spark):
+    from pyspark.sql import functions as F
+
+    from ligature.functions import vectors
+
+    df = spark.createDataFrame([(1, [1.0, 2.0], [3.0, 4.0]), (2, None, [1.0, 1.0]), (3, [0.5, 0.5], [1.0, -1.0])], "i int, a array<double>, b array<double>")
+    got = df.withColumn("x", vectors.product(F.col("a"), F.col("b"))).withColumn("y", vectors.dot(F.col("a"), F.col("b"))).orderBy("i").collect()
+    assert [r["x"] for r in got] == [r["y"] for r in got] == [11.0, None, 0.0]
+
+
+def test_support_of_lists(spark):
+    """The best cosine to another of the first five, without a vector, alone, and beyond the five."""
+    from ligature.operators import features
+
+    pairs = [("a", f"c{i}", 1 - i / 10) for i in range(7)] + [("b", "c0", 0.5), ("c", "c1", 0.5), ("c", "none", 0.4)]
+    unit = lambda x: [x, (1 - x * x) ** 0.5]
+    vecs = spark.createDataFrame([(f"c{i}", unit(i / 7)) for i in range(7)], "id string, v array<double>")
+    got = {(r["s1_id"], r["cand_id"]): r["support"] for r in features.support(spark.createDataFrame(pairs, "s1_id string, cand_id string, emb_score double"), vecs).collect()}
+    v = [unit(i / 7) for i in range(7)]
+    want = {("a", f"c{i}"): max(v[i][0] * v[j][0] + v[i][1] * v[j][1] for j in range(5) if j != i) for i in range(7)}
+    assert len(got) == len(pairs) and all(abs(got[k] - x) < 1e-9 for k, x in want.items())
+    assert [got[k] for k in (("b", "c0"), ("c", "c1"), ("c", "none"))] == [0.0, 0.0, 0.0]
+
+
+def test_only_missing_features_have_flags(spark):
+    from ligature.operators import models
+
+    df = spark.createDataFrame([(float(i % 7), None if i % 5 == 0 else float(i), i % 2) for i in range(200)], "a double, b double, label int")
+    model = models.train(df, ["a", "b"], rounds=2, depth=2)
+    assert model.flags == ["b"] and model.numFeatures == 3
+    assert models.score(model, df, ["a", "b"]).where("prob BETWEEN 0 AND 1").count() == 200
+    assert abs(sum(v for _, v in models.importance(model, ["a", "b"])) - 1) < 1e-6
+
+
+def test_columns_are_sent_once(spark):
+    """Equal columns of several similarities are one field, and equal pairs of strings are computed once."""
+    from pyspark.sql import functions as F
+
+    from ligature.functions import similarity as m
+    from ligature.session import ship
+
+    ship(spark)
+    a, b = F.col("a"), F.col("b")
+    made = m.measures({"x": (m.ratio, a, b), "y": (m.token_sort_ratio, a, b), "z": (m.ratio, b, F.lit(""))})
+    df = spark.createDataFrame([("ab c", "c ab"), (None, "q"), ("", None), ("ab c", "c ab")], "a string, b string")
+    got = [tuple(r["m"]) for r in df.withColumn("m", made).collect()]
+    assert got == [(m.ratio(p, q), m.token_sort_ratio(p, q), m.ratio(q, "")) for p, q in (("ab c", "c ab"), ("", "q"), ("", ""), ("ab c", "c ab"))]
+    assert "c2" in made._jc.toString() and "c3" not in made._jc.toString()
