@@ -18,10 +18,9 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
     joined = both.join(least, "u")
-    if large:
-        out = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:
-        out = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+    if large:  # one row for each link at most; the small star that follows makes rows distinct
+        return joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
+    out = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
     return out.where("a <> b").distinct()
 
 

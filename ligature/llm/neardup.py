@@ -48,8 +48,8 @@ TILE = 256
 COLUMNS = 8192
 #: Members of a star that one task compares with its pivot.
 STAR = 500
-#: Least bits of the map that keeps texts which no pair needs out of the shuffle.
-BITS = 1 << 20
+#: Bits of the map that keeps texts which no pair needs out of the shuffle; for many ids it lets more texts through.
+BITS = 1 << 22
 
 _FACTORS = common.constants(HASHES, 3) | np.uint64(1)
 _STEPS = common.constants(64, 5) | np.uint64(1)
@@ -234,18 +234,13 @@ def _sets(ids: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
 
 def _needed(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """The rows of ``texts`` whose id may be among ``ids``, by a bitmap of hash buckets; never fewer. The bitmap has
-    ``BITS`` bits, and four times as many for many ids; beyond, it lets more rows through."""
-    n = ids.count()
-    bits = min(4 * BITS, max(BITS, 1 << (8 * n).bit_length()))
-    bucket = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(bits))
-    marks = ids.select(bucket("id").alias("k")).groupBy(F.expr("k div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(k % 64 as int))")).alias("bits")).collect()  # at most bits / 64 rows
-    words = np.zeros(bits // 64, "<i8")
-    for r in marks:
-        words[r["word"]] = r["bits"]
-    held = texts.withColumn("__k", bucket("id"))
-    byte = F.conv(F.hex(F.substring(F.lit(words.tobytes()), F.expr("cast(__k div 8 as int) + 1"), F.lit(1))), 16, 10).cast("int")
-    return held.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(__k % 8 as int))")) != 0).drop("__k")
+    """The rows of ``texts`` whose id may be among ``ids``, by a bitmap of ``BITS`` hash buckets; never fewer. The bitmap
+    is a table of ``BITS`` / 64 words at most, which is broadcast: a literal would be printed again in each state of each
+    plan that the driver keeps."""
+    bucket = F.pmod(F.xxhash64("id"), F.lit(BITS))
+    marks = ids.select(bucket.alias("k")).groupBy(F.expr("k div 64").alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(k % 64 as int))")).alias("__bits"))
+    held = texts.withColumn("__k", bucket).join(F.broadcast(marks), F.expr("__k div 64 = __word"))
+    return held.where(F.expr("__bits & shiftleft(1L, cast(__k % 64 as int)) <> 0")).select(texts.columns)
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -259,7 +254,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     members = pairs.join(places, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("k")).cast("int").alias("place"), F.lit(True).alias("member"))
     pivots = places.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("place"), F.lit(False).alias("member"))
     sent = members.unionByName(pivots)
-    wanted = _needed(sent.select("id"), texts).join(sent, "id").select("a", "place", "member", "id", "text")
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    wanted = _needed(ids, texts).join(sent, "id").select("a", "place", "member", "id", "text")
     ready = wanted.repartition(common.partitions(texts.sparkSession), "a", "place").sortWithinPartitions("a", "place", "member", "id")
     kind = pairs.schema["a"].dataType.simpleString()
 

@@ -498,6 +498,21 @@ def test_no_signature_test(spark):
     assert got == brute(texts, 2)
 
 
+def test_needed_texts_are_found_within_one_small_plan(spark):
+    """No job runs before the plan does, and the driver's plan does not hold the bitmap."""
+    texts = spark.range(20_000).selectExpr("id", "'t' || id AS text")
+    ids = spark.range(0, 20_000, 7).select("id")
+    spark.sparkContext.setJobGroup("needed", "")
+    found = neardup._needed(ids, texts)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("needed")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found.columns == ["id", "text"]
+    assert len(found._jdf.queryExecution().toString()) < 20_000
+    got = {r["id"] for r in found.collect()}
+    assert got >= set(range(0, 20_000, 7)) and len(got) < 3_200
+    assert neardup._needed(ids.where("false"), texts).count() == 0
+
+
 def test_near_duplicates_empty_table(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
