@@ -2,20 +2,24 @@
 
 Texts are cut at ASCII white space, which no token of the vocabulary can cross, so a text of any length is
 encoded piece by piece with the result of the whole text. Equal pieces are encoded once per cache generation, in
-batches balanced by bytes.
+batches balanced by bytes. Where the vocabulary's own rules leave a word of Latin letters whole, the library's model
+gets it directly, without the rules.
 
 Defined results: null and empty texts have 0 tokens; rows are counted one by one, so repeats and ties need no rule.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import threading
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +33,37 @@ MARKS = ("■", "►", "✓", "€", "©")
 #: Bytes of text whose pieces are held at a time.
 TEXT_BYTES = 4_000_000
 
+#: Rules under which a word of Latin letters is lower-cased and reaches the model whole, as its bytes; a run of other signs
+#: that follows is a word of its own.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+#: Letters that have one code point in either case, and so one form.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Signs of which a run may end a piece; none is part of a special token.
+SIGNS = b".,;:!?#%$&*"
+#: The byte level's letters for bytes that are not printable.
+_BYTES = {b: 162 + b for b in range(127, 161)} | {173: 323}
+
 _loaded: dict = {}
 
 
+def _whole_words(tokenizer):
+    """The model of a tokenizer under ``RULES`` whose special tokens all hold another sign than ``LETTERS`` and ``SIGNS``;
+    else none."""
+    said = json.loads(tokenizer.to_str())
+    plain = said["model"]["type"] == "BPE" and not said["model"].get("dropout") and all(said[k] == v for k, v in RULES.items())
+    apart = all(re.search("[^A-Za-zÀ-ÖØ-öø-ÿ.,;:!?#%$&*]", t["content"]) for t in said["added_tokens"])
+    return tokenizer.model if plain and apart else None
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -51,12 +83,23 @@ class Encoder:
         ids = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in MARKS}
         self.mark = next((m for m in MARKS if len(ids[m]) == 1), None)
         self.mark_id = ids[self.mark][0] if self.mark else -1
+        self.model = _whole_words(self.tokenizer)
         self.lengths = common.WordCache(600_000)
         self.ids = common.WordCache(700_000)
 
     def _encode(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Each piece with its packed ids. Pieces are encoded side by side, with a word between them that is one token
-        and that none of them holds."""
+        """Each piece with its packed ids. Words of letters go to the model; other pieces are encoded side by side, with
+        a word between them that is one token and that none of them holds."""
+        if self.model is not None:
+            tokenize, others = self.model.tokenize, []
+            for p in pieces:
+                if p.isalpha():
+                    yield p, _little([t.id for t in tokenize(p.lower().decode())])
+                elif not p.isascii() and LETTERS.fullmatch(word := p.decode()):
+                    yield p, _little([t.id for t in tokenize(word.lower().encode().decode("latin-1").translate(_BYTES))])
+                else:
+                    others.append(p)
+            pieces = others
         if self.mark is None:
             apart, joined = pieces, []
         else:
@@ -77,40 +120,46 @@ class Encoder:
 
     def count(self, texts: list[bytes]) -> list[int]:
         """The number of tokens of each text."""
-        out = []
+        out: list[int] = []
         for i, j in common.byte_slices([len(t) for t in texts], TEXT_BYTES):
-            cut = [_cut(t) for t in texts[i:j]]
-            self._learn(self.lengths, cut, _number)
-            get = self.lengths.__getitem__
-            out += [sum(map(get, pieces)) for pieces in cut]
+            words, places, ends = _cut(texts[i:j])
+            self._learn(self.lengths, words, _number)
+            n = np.array([self.lengths[w] for w in words], np.int64)
+            out += np.diff(np.concatenate([[0], np.cumsum(n[places])])[ends]).tolist()
         return out
 
     def packed(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         out = []
         for i, j in common.byte_slices([len(t) for t in texts], TEXT_BYTES):
-            cut = [_cut(t) for t in texts[i:j]]
-            self._learn(self.ids, cut, bytes)
-            get = self.ids.__getitem__
-            out += [b"".join(map(get, pieces)) for pieces in cut]
+            words, places, ends = _cut(texts[i:j])
+            self._learn(self.ids, words, bytes)
+            found = [self.ids[w] for w in words]
+            ids = np.frombuffer(b"".join(found), "<u4")
+            n = np.array([len(x) >> 2 for x in found], np.int64)
+            first, size = (np.cumsum(n) - n)[places], n[places]
+            at = np.concatenate([[0], np.cumsum(size)])
+            raw = ids[np.repeat(first - at[:-1], size) + np.arange(at[-1])].tobytes()
+            cuts = (4 * at[ends]).tolist()
+            out += [raw[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
         return out
 
-    def _learn(self, cache: common.WordCache, cut: list[list[bytes]], value) -> None:
-        distinct: set = set()
-        for pieces in cut:
-            distinct.update(pieces)
-        plain, ended = [], []
-        for p in cache.missing(distinct):
-            # a full stop or comma after a letter or digit is a word of its own
-            (ended if p[-1:] in _ENDS and p[-2:-1].isalnum() else plain).append(p)
-        stems = {p[:-1] for p in ended}.union(_ENDS if ended else ()).difference(plain)
-        for p, ids in self._encode(plain + cache.missing(stems, keep=True)):
+    def _learn(self, cache: common.WordCache, words: list[bytes], value) -> None:
+        plain, ended, parts = [], [], set()
+        for p in cache.missing(words):
+            # a full stop or comma after a letter or digit is a word of its own; under RULES any run of signs is
+            stem = p.rstrip(SIGNS if self.model is not None else b".,")
+            n = len(stem)
+            if n and (n == len(p) - 1 or n < len(p) and self.model is not None) and (stem[-1:].isalnum() or self.model is not None and LETTERS.fullmatch(stem.decode())):
+                ended.append((p, n))
+                parts.update((stem, p[n:]))
+            else:
+                plain.append(p)
+        parts.difference_update(plain)
+        for p, ids in self._encode(plain + cache.missing(parts, keep=True)):
             cache[p] = value(ids)
-        for p in ended:
-            cache[p] = cache[p[:-1]] + cache[p[-1:]]
-
-
-_ENDS = (b".", b",")
+        for p, n in ended:
+            cache[p] = cache[p[:n]] + cache[p[n:]]
 
 
 def _number(packed: bytes) -> int:
@@ -121,10 +170,13 @@ def _little(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def _cut(text: bytes) -> list[bytes]:
-    """The pieces between ASCII white space. The vocabulary ignores case; in ASCII text without a marker of special
-    tokens it can be dropped here, which makes more pieces equal."""
-    return (text.lower() if text.isascii() and b"<|" not in text else text).split()
+def _cut(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct pieces between ASCII white space, the place among them of every piece, and where the pieces of each
+    text end, from 0 on. The vocabulary ignores case; in ASCII text without a marker of special tokens it can be dropped
+    here, which makes more pieces equal. White space at the ends of a text leaves empty pieces, which have no tokens."""
+    cut = pc.ascii_split_whitespace(pa.array([t.lower() if t.isascii() and b"<|" not in t else t for t in texts], pa.large_string()))
+    pieces = cut.flatten().dictionary_encode()
+    return pieces.dictionary.cast(pa.large_binary()).to_pylist(), pieces.indices.to_numpy(), cut.offsets.to_numpy()
 
 
 def encoder(path: str) -> Encoder:
