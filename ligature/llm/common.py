@@ -64,6 +64,20 @@ def byte_slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def together(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Runs of consecutive batches, each closed by the batch with which a column's bytes reach ``limit``."""
+    held: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.column(column).nbytes
+        if total >= limit:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(32))

@@ -38,6 +38,30 @@ _HEAD = struct.Struct("<4sQII")
 _BLOCK = struct.Struct("<IBH")
 
 
+def _narrow(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bits of values, side by side from the lowest bit; eight of them fill ``width`` bytes."""
+    v = np.ascontiguousarray(values.reshape(-1, 8).T) & np.uint32((1 << width) - 1)
+    out = np.zeros((width, v.shape[1]), np.uint8)
+    for k in range(width):
+        for i in range(8 * k // width, (8 * k + 7) // width + 1):
+            shift = i * width - 8 * k
+            out[k] |= (v[i] << np.uint32(shift) if shift >= 0 else v[i] >> np.uint32(-shift)).astype(np.uint8)
+    return out.T.tobytes()
+
+
+def _widen(data: bytes, width: int) -> np.ndarray:
+    """The values that ``_narrow`` put side by side."""
+    raw = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, width).T)
+    out = np.zeros((8, raw.shape[1]), np.uint32)
+    for i in range(8):
+        for k in range(i * width // 8, (i * width + width - 1) // 8 + 1):
+            shift = 8 * k - i * width
+            part = raw[k].astype(np.uint32)
+            out[i] |= part << np.uint32(shift) if shift >= 0 else part >> np.uint32(-shift)
+    out &= np.uint32((1 << width) - 1)
+    return out.T.reshape(-1)
+
+
 def pack(ids: np.ndarray, block: int = BLOCK, percentile: int = PERCENTILE) -> bytes:
     """A segment of unsigned 32-bit ids."""
     n = len(ids)
@@ -55,10 +79,9 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: int = PERCENTILE) -> b
     for w in np.unique(widths).tolist():
         rows = np.flatnonzero(widths == w)
         if w:
-            bits = ((grid[rows][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8)
-            body = np.packbits(bits.reshape(len(rows), block * w), axis=1, bitorder="little")
+            body, size = _narrow(grid[rows], w), block * w // 8
             for i, r in enumerate(rows.tolist()):
-                packed[r] = body[i].tobytes()
+                packed[r] = body[i * size : (i + 1) * size]
     over = (grid >> widths[:, None].astype(np.uint32)) > 0 if count else np.zeros((0, block), bool)
     over[widths == 32] = False
     made, starts, at = [], [], 0
@@ -92,11 +115,8 @@ def unpack(data: bytes, start: int = 0, stop: int | None = None) -> np.ndarray:
             out[rows] = 0
             continue
         size = block * w // 8
-        raw = np.stack([np.frombuffer(data, np.uint8, size, base + int(starts[first + i]) + _BLOCK.size) for i in rows])
-        bits = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(rows), block, w)
-        wide = np.zeros((len(rows), block, 32 if w > 16 else 16), np.uint8)
-        wide[:, :, :w] = bits
-        out[rows] = np.packbits(wide, axis=2, bitorder="little").view("<u4" if w > 16 else "<u2")[:, :, 0]
+        at = [base + int(starts[first + i]) + _BLOCK.size for i in rows]
+        out[rows] = _widen(b"".join([data[x : x + size] for x in at]), w).reshape(-1, block)
     for i, (least, w, extra) in enumerate(heads):
         if extra:
             at = base + int(starts[first + i]) + _BLOCK.size + block * w // 8
@@ -128,9 +148,10 @@ def write_tokens(documents: DataFrame, vocabulary: str, end: int = END, key: str
             columns = [pa.array([part], pa.int32()), pa.array([segment], pa.int64()), pa.array([start], pa.int64()), pa.array([keys], pa.list_(key_type)), pa.array([lengths], pa.list_(pa.int64())), pa.array([pack(ids)], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, ["part", "segment", "start", "keys", "lengths", "data"])
 
-        for batch in batches:
-            key_type = batch.schema.field(0).type
-            for k, ids in zip(batch.column(0).to_pylist(), own.packed(batch.column(1).to_pylist()), strict=True):
+        for run in common.together(batches, 1, tokens.TEXT_BYTES):
+            key_type = run[0].schema.field(0).type
+            named = [k for batch in run for k in batch.column(0).to_pylist()]
+            for k, ids in zip(named, own.packed([t for batch in run for t in batch.column(1).to_pylist()]), strict=True):
                 keys.append(k)
                 lengths.append(len(ids) // 4 + 1)
                 held += (ids, last)

@@ -9,6 +9,7 @@ from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -235,6 +236,49 @@ def test_pieces_of_any_white_space():
     assert one.packed([]) == [] and one.count([]) == [] and one.packed([b""]) == [b""] and one.count([b"", b" "]) == [0, 0]
 
 
+def test_equal_words_reach_the_model_once(monkeypatch):
+    """In any case, with any signs around them, in any text of those taken together."""
+    own = tokens.Encoder(tokens.default_vocabulary())
+    seen, plain = [], own._by_model
+    monkeypatch.setattr(own, "_by_model", lambda words: seen.extend(words.to_pylist()) or plain(words))
+    texts = ["Été, ÉTÉ! été...", "été;ÉTÉ word word.", "WORD? &word% Word.word"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.packed([t.encode() for t in texts])] == list(reference(tokens.default_vocabulary(), dict(enumerate(texts))).values())
+    assert sorted(seen) == sorted(["word".encode(), "été".encode()])
+
+
+def test_rows_of_several_batches_are_taken_together():
+    column = [pa.record_batch({"k": [i], "t": [b"x" * 10]}) for i in range(7)]
+    assert [[b["k"][0].as_py() for b in run] for run in common.together(iter(column), 1, 40)] == [[0, 1, 2], [3, 4, 5], [6]]
+    assert list(common.together(iter([]), 1, 40)) == []
+
+
+def test_cuts_between_letters_and_signs(monkeypatch):
+    """Any mix of letters, signs, marks, special tokens and white space has the ids of the whole text, however few bytes go together."""
+    rng = random.Random(17)
+    some = [*"aAzZéÉßÿÀ×÷µªº.,;:!?#%$&*'<|>3²½\"()-_/@~", *" \n\t\x0b\x1c\x85\xa0\xad", "\u0301", "\u0331", "\u0338", "\u0130", "\u03a3", "\u017f", "\u212a", "\u2019", "\u3000", "\u4e2d", "\U0001f600", "■", "'s", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "word", "Étude", "İ"]
+    texts = ["".join(rng.choices(some, k=rng.randint(0, 12))) for _ in range(4000)] + ["".join(rng.choices(some, k=3000)), "a" * 3000 + "É" * 3000 + "." * 3000]
+    want = list(reference(tokens.default_vocabulary(), dict(enumerate(texts))).values())
+    for sizes in ({}, {"TEXT_BYTES": 500, "WORD_BYTES": 5, "BATCH_BYTES": 40}):
+        for name, size in sizes.items():
+            monkeypatch.setattr(tokens, name, size)
+        for by_rules in (False, True):
+            one = tokens.Encoder(tokens.default_vocabulary())
+            if by_rules:
+                one.words = None
+            got = [np.frombuffer(x, "<u4").tolist() for x in one.packed([t.encode() for t in texts])]
+            assert [(t, x) for t, x, y in zip(texts, got, want, strict=True) if x != y] == []
+            assert one.count([t.encode() for t in texts]) == [len(x) for x in want]
+
+
+@pytest.mark.parametrize("width", range(1, 33))
+def test_bits_side_by_side(width):
+    x = np.random.default_rng(width).integers(0, 1 << 32, 512, dtype=np.uint64).astype(np.uint32)
+    bits = ((x[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8)
+    data = tokenfile._narrow(x, width)
+    assert data == np.packbits(bits.reshape(-1), bitorder="little").tobytes()
+    assert (tokenfile._widen(data, width) == x & np.uint32((1 << width) - 1)).all()
+
+
 def want_ids(text):
     return np.array(reference(tokens.default_vocabulary(), {0: text.decode()})[0], "<u4").tobytes()
 
