@@ -91,27 +91,3 @@ def constants(n: int, seed: int) -> np.ndarray:
     """``n`` reproducible 64-bit constants."""
     with np.errstate(over="ignore"):
         return mix64((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed * 1_000_003)) * np.uint64(0x9E3779B97F4A7C15))
-
-
-class WordCache(dict):
-    """A bounded memo: when the young generation is full, it becomes the old one and the older is forgotten."""
-
-    def __init__(self, limit: int = 400_000):
-        super().__init__()
-        self.old: dict = {}
-        self.limit = limit
-
-    def missing(self, keys: set, keep: bool = False) -> list:
-        """Bring known keys into the young generation and return the others; with ``keep``, forget nothing now."""
-        if len(self) >= self.limit and not keep:
-            self.old = dict(self)
-            self.clear()
-        # key by key: differences of sets and key views walk through the whole cache
-        unknown = [k for k in keys if k not in self]
-        if self.old and unknown:
-            old = self.old
-            for k in unknown:
-                if k in old:
-                    self[k] = old[k]
-            unknown = [k for k in unknown if k not in old]
-        return unknown
