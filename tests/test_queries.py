@@ -77,3 +77,29 @@ def test_models_find_held_out_matches(spark):
     assert top <= 15
     found = registry.queries()["feature_importance"](spark, SF).collect()
     assert sorted(r["feature"] for r in found) == sorted(features.MODEL) and abs(sum(r["importance"] for r in found) - 1) < 1e-4
+
+
+def test_features_use_the_whole_dictionary(spark, monkeypatch):
+    """A dictionary beyond what becomes a map is joined, not cut: the rewritten names are the same."""
+    from ligature.operators import channels
+    from ligature.plans import tables
+
+    def found():
+        for key in [k for k in tables._held if k[1] == "featured"]:
+            monkeypatch.delitem(tables._held, key)
+        rows = registry.queries()["pair_features_all"](spark, SF).select("s1_id", "cand_id", "dict_name_ratio").collect()
+        return {(r["s1_id"], r["cand_id"]): r["dict_name_ratio"] for r in rows}
+
+    whole = found()
+    monkeypatch.setattr(channels, "MAPPED", 2)
+    assert found() == whole
+
+
+def test_dictionary_counts_pairs(spark):
+    """Copies on both sides of an address count with all their pairs, though they are aligned once."""
+    from ligature.plans import tables
+
+    rows = [(1, "old ring"), (1, "old ring"), (1, "old bolt"), (2, "new ring"), (3, "new ring"), (3, "new ring"), (2, "dim bolt")]
+    norm = spark.createDataFrame([(s, "X", n, ["1", "brand", "2"]) for s, n in rows], "source int, country string, name_full string, addr_tokens array<string>")
+    got = {r["src"]: (r["dst"], r["n"]) for r in tables.dictionary(norm).collect()}
+    assert got == {"new": ("old", 9), "ring": ("bolt", 3), "dim": ("old", 3), "bolt": ("ring", 2)}
