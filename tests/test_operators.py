@@ -297,3 +297,23 @@ def test_columns_are_sent_once(spark):
     got = [tuple(r["m"]) for r in df.withColumn("m", made).collect()]
     assert got == [(m.ratio(p, q), m.token_sort_ratio(p, q), m.ratio(q, "")) for p, q in (("ab c", "c ab"), ("", "q"), ("", ""), ("ab c", "c ab"))]
     assert "c2" in made._jc.toString() and "c3" not in made._jc.toString()
+
+
+def test_reverse_rank_counts_every_member(spark):
+    """A row that stands for several S1 takes as many ranks."""
+    from ligature.operators import features
+
+    rows = spark.createDataFrame([("a", "p", 0.9, 3), ("b", "p", 0.9, 2), ("c", "p", 0.5, 4), ("d", "p", 0.1, 1), ("c", "q", 0.2, 4)], "s1_id string, cand_id string, emb_score double, times int")
+    got = {(r["s1_id"], r["cand_id"]): r["reverse_rank"] for r in features.reverse_rank(rows).collect()}
+    assert got == {("a", "p"): 1, ("b", "p"): 1, ("c", "p"): 6, ("d", "p"): 10, ("c", "q"): 1}
+
+
+def test_derived_once_for_equal_keys(spark):
+    """Equal keys share what is made of them; null keys are kept."""
+    from pyspark.sql import functions as F
+
+    from ligature.session import derived
+
+    rows = spark.createDataFrame([(1, "x", None), (2, "x", None), (3, None, None), (4, "y", "z")], "id int, a string, b string")
+    made = derived(rows, ["a", "b"], lambda t: t.withColumn("c", F.concat_ws("-", "a", "b")))
+    assert {r["id"]: r["c"] for r in made.collect()} == {1: "x", 2: "x", 3: "", 4: "y-z"}

@@ -103,3 +103,21 @@ def test_dictionary_counts_pairs(spark):
     norm = spark.createDataFrame([(s, "X", n, ["1", "brand", "2"]) for s, n in rows], "source int, country string, name_full string, addr_tokens array<string>")
     got = {r["src"]: (r["dst"], r["n"]) for r in tables.dictionary(norm).collect()}
     assert got == {"new": ("old", 9), "ring": ("bolt", 3), "dim": ("old", 3), "bolt": ("ring", 2)}
+
+
+def test_copies_are_asked_once(spark, tmp_path):
+    """S1 with equal fields and finds are one group, and its rows are those of all its members."""
+    from pyspark.sql import functions as F
+
+    from ligature.plans import tables
+
+    part = spark.read.parquet(f"{SF}/part.parquet").where("p_partkey < 60")
+    part.crossJoin(spark.range(0, 12)).withColumn("p_partkey", F.col("p_partkey") + 200 * F.col("id")).drop("id").write.parquet(f"{tmp_path}/part.parquet")
+    members = tables.grouped(spark, str(tmp_path)).members
+    assert members.select("head").distinct().count() * 2 <= members.count() == 240
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    for name in ("all_channels", "provenance_counts", "filter_features", "staged_recall"):
+        df = registry.queries()[name](spark, str(tmp_path))
+        want = db.execute(f"SELECT {', '.join(df.columns)} FROM ({registry.oracle_sql()[name]})").fetchall()
+        assert sorted(tuple(map(_plain, r)) for r in df.collect()) == sorted(tuple(map(_plain, r)) for r in want)
